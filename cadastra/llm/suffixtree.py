@@ -241,7 +241,7 @@ def _folded(docs: DataFrame, modulus: int, held: int, id_col: str, text_col: str
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (rt.bucket_of(F.col(id_col), modulus) == held).alias("held_out"))
 
 
-def train(folded: DataFrame, *, depth: int = 5, least_bits: float = 40.0, share: float = 2e-6, weight: float = 8.0) -> tuple[Tree, DataFrame, int, int, int]:
+def train(folded: DataFrame, *, depth: int = 6, least_bits: float = 30.0, share: float = 3e-6, weight: float = 8.0) -> tuple[Tree, DataFrame, int, int, int]:
     """The tree, the token counts (key, n), N, V and the number of ends, all of the training rows."""
     src = folded.select("text", "held_out")
     counts = src.mapInArrow(_count_batches(depth), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
