@@ -26,7 +26,7 @@ def area_breakdown(text: Column) -> Column:
     pattern = F.lit(r"(?i)Partly\s+([^(\[]+?)\s*\((\d+)m2\)")
     text = F.coalesce(text, F.lit(""))
     both = F.arrays_zip(F.regexp_extract_all(text, pattern, 1).alias("u"), F.regexp_extract_all(text, pattern, 2).alias("n"))
-    return F.transform(both, lambda x: F.struct(strip(x["0"]).alias("use"), x["1"].try_cast("bigint").alias("sqm")))
+    return F.transform(both, lambda x: F.struct(strip(x["u"]).alias("use"), x["n"].try_cast("bigint").alias("sqm")))
 
 
 def is_known_taluka(c: Column) -> Column:
