@@ -15,9 +15,11 @@ registers give candidates.
    (five standard errors of slack), then the exact test on full shingle sets.
 4. Links give components by min-label propagation with pointer jumping, all as tables.
 5. What a star can miss is a link between *different* components that meet in a bucket.  For these
-   each member outside the bucket's largest component is compared with every member (registers
-   first, then full sets), in blocks of bounded size, so a hot bucket spreads over many tasks.
-   Members of one component are never paired with each other: that could not change the result.
+   each member outside the bucket's largest component is compared with every member, in a grid of
+   cells of bounded size, so a hot bucket spreads over many tasks.  Registers first say which
+   members may have such a link at all; the full sets of these then meet cell by cell, and each
+   cell returns a spanning set of the links it finds, never its pairs.  Members of one component
+   are not compared with each other: that could not change the result.
 
 Recall: a pair at similarity 0.85 shares no band with probability (1 - 0.85^5)^20 = 8e-6.
 
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm import _runtime as rt
@@ -46,7 +48,7 @@ class Params:
     """``bands`` x ``rows`` registers on a scale with ratio ``base``; links need
     ``100 * intersection >= percent * union`` on shingles of ``shingle`` words."""
 
-    def __init__(self, shingle: int = 3, percent: int = 85, bands: int = 20, rows: int = 5, base: float = 1.001, rate: float = 20.0, block: int = 2000):
+    def __init__(self, shingle: int = 3, percent: int = 85, bands: int = 20, rows: int = 5, base: float = 1.001, rate: float = 20.0, block: int = 1500):
         self.shingle, self.percent, self.bands, self.rows, self.base, self.rate, self.block = shingle, percent, bands, rows, base, rate, block
         rng = np.random.Generator(np.random.PCG64(77))
         self.m = bands * rows
@@ -138,14 +140,19 @@ def sketches(docs: DataFrame, p: Params, id_col: str = "doc_id", text_col: str =
     return src.mapInArrow(_sketch_batches(p, "id"), f"id {kind}, n long, key1 long, key2 long, sketch binary")
 
 
+def band_keys(p: Params, regs: np.ndarray) -> np.ndarray:
+    """64-bit key of each band of register rows (n x bands)."""
+    parts = regs.reshape(-1, p.bands, p.rows).astype(np.uint64)
+    return bo.mix((parts * p.band_seed[None] + p.band_seed[None]).sum(2, dtype=np.uint64) + np.arange(p.bands, dtype=np.uint64)[None])
+
+
 def _band_batches(p: Params):
     def run(batches):
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(n, p.bands, p.rows)
-            keys = bo.mix((regs.astype(np.uint64) * p.band_seed[None] + p.band_seed[None]).sum(2, dtype=np.uint64) + np.arange(p.bands, dtype=np.uint64)[None])
+            keys = band_keys(p, np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16))
             ids = batch.column(0).take(pa.array(np.repeat(np.arange(n), p.bands)))
             yield pa.RecordBatch.from_arrays([ids, pa.array(keys.reshape(-1).view(np.int64))], names=["id", "band"])
 
@@ -188,12 +195,17 @@ def _plausible_batches(p: Params):
     return run
 
 
-def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, p: Params, kind: str) -> DataFrame:
+def _full_sets(ids: DataFrame, docs: DataFrame, p: Params, kind: str) -> DataFrame:
+    """``id`` and ``s``, the sorted shingle hashes, of the documents in ``ids``."""
+    wanted = rt.materialize(ids.distinct(), "ends")
+    # one row of text per id: ids stand for the smallest of their set, and any row of an id with that set will do
+    texts = docs.join(rt.maybe_broadcast(wanted, 40), "id", "left_semi")
+    return texts.mapInArrow(_set_batches(p), f"id {kind}, s binary").groupBy("id").agg(F.max("s").alias("s"))
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, p: Params, kind: str) -> DataFrame:
     """Of the pairs (a, b) those whose full shingle sets are similar enough."""
-    ends = rt.materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ends")
-    # one row of text per id: reps carries the smallest id of each set, and any row of that id with that set will do
-    texts = docs.join(rt.maybe_broadcast(ends, 40), "id", "left_semi")
-    sets = texts.mapInArrow(_set_batches(p), f"id {kind}, s binary").groupBy("id").agg(F.max("s").alias("s"))
+    sets = _full_sets(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), docs, p, kind)
     left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
     return joined.mapInArrow(_verify_batches(p), f"a {kind}, b {kind}")
@@ -216,26 +228,68 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def _cross_batches(p: Params):
-    """Pairs of one block of a bucket: minority members against all."""
+def _facing(tab: pa.Table, p: Params, n: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each left row of a cell with the right rows of other components that the length bound lets
+    pass.  Two minority members face each other from both sides; the hash order keeps one of them."""
+    left, minor, order = (tab.column(c).to_numpy() for c in ("left", "minor", "place"))
+    codes = tab.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
+    right = np.flatnonzero(~left)
+    for r in np.flatnonzero(left):
+        other = right[(codes[right] != codes[r]) & (~minor[right] | (order[right] <= order[r]))]
+        yield r, other[100 * np.minimum(n[other], n[r]) >= p.percent * np.maximum(n[other], n[r])]
+
+
+_CELL = ("band", "cell", "id", "comp", "left", "minor", "place")
+
+
+def _meet_batches(p: Params):
+    """Of one cell of a bucket those members that registers let be linked across components.  A pair
+    counts only in the first band that it shares."""
 
     def run(keys: tuple[pa.Scalar, ...], tab: pa.Table) -> pa.Table:
         tab = tab.combine_chunks()
-        comp, minor, n = tab.column("comp"), tab.column("minor").to_numpy(), tab.column("n").to_numpy()
+        n = tab.column("n").to_numpy()
         regs = np.frombuffer(b"".join(tab.column("sketch").to_pylist()), np.uint16).reshape(-1, p.m)
-        codes = comp.combine_chunks().dictionary_encode().indices.to_numpy()
-        left, right = [], []
-        rare = np.flatnonzero(minor)
-        for r in rare:
-            other = np.flatnonzero((codes != codes[r]) & (~minor | ((np.arange(len(codes)) > r) & (keys[1].as_py() == 0))))
-            near = other[100 * np.minimum(n[other], n[r]) >= p.percent * np.maximum(n[other], n[r])]
-            near = near[(regs[near] == regs[r]).sum(1) >= 0.5 * p.m]
+        own = band_keys(p, regs).view(np.int64) == keys[0].as_py()
+        keep = np.zeros(len(n), bool)
+        for r, near in _facing(tab, p, n):
+            same = regs[near] == regs[r]
+            first = same.reshape(-1, p.bands, p.rows).all(2).argmax(1)
+            near = near[(same.sum(1) >= 0.5 * p.m) & own[r, first]]
             if len(near):
                 ok = near[plausible(p, regs[near], np.broadcast_to(regs[r], (len(near), p.m)), n[near], np.full(len(near), n[r]))]
-                left.append(np.full(len(ok), r))
-                right.append(ok)
-        at = lambda x: tab.column("id").take(pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)))
-        return pa.table([at(left), at(right)], names=["a", "b"])
+                keep[ok] = True
+                keep[r] |= len(ok) > 0
+        return tab.select(_CELL).filter(pa.array(keep))
+
+    return run
+
+
+def _link_batches(p: Params, chunk: int = 1 << 20):
+    """Links between the components of one cell by full shingle sets.  Components that a link has
+    joined are one from then on, so a cell gives fewer links than it has members."""
+
+    def run(keys: tuple[pa.Scalar, ...], tab: pa.Table) -> pa.Table:
+        tab = tab.combine_chunks()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in tab.column("s")]
+        n = np.array([len(x) for x in sets])
+        codes = tab.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
+        root = np.arange(codes.max() + 1)
+        a, b = [], []
+        for r, near in _facing(tab, p, n):
+            while len(near := near[root[codes[near]] != root[codes[r]]]):
+                part = near[: max(1, int(np.searchsorted(np.cumsum(n[near]), chunk)))]
+                near = near[len(part) :]
+                values, mine = np.concatenate([sets[i] for i in part]), sets[r]
+                hit = mine[np.minimum(np.searchsorted(mine, values), len(mine) - 1)] == values
+                both = np.add.reduceat(hit.astype(np.int64), np.concatenate(([0], np.cumsum(n[part])))[:-1])
+                for i in part[100 * both >= p.percent * (n[part] + n[r] - both)]:
+                    if root[codes[i]] != root[codes[r]]:
+                        root[root == root[codes[i]]] = root[codes[r]]
+                        a.append(r)
+                        b.append(i)
+        at = lambda x: tab.column("id").take(pa.array(x, pa.int64()))
+        return pa.table([at(a), at(b)], names=["a", "b"])
 
     return run
 
@@ -268,7 +322,7 @@ def near_duplicates(docs: DataFrame, p: Params | None = None, *, id_col: str = "
         .select("a", "b", "na", "ka", "nb", "kb")
         .mapInArrow(_plausible_batches(p), f"a {kind}, b {kind}")
     )
-    links = rt.materialize(_confirm(rt.materialize(pairs, "pairs"), reps, src, p, kind), "links")
+    links = rt.materialize(_confirm(rt.materialize(pairs, "pairs"), src, p, kind), "links")
     label = components(links)
 
     # Links that a star cannot see: members of different components in one bucket.
@@ -276,27 +330,29 @@ def near_duplicates(docs: DataFrame, p: Params | None = None, *, id_col: str = "
     member = met.join(label, "id", "left").select("band", "id", comp)
     by_comp = member.groupBy("band", "comp").agg(F.count("*").alias("c"))
     mixed = by_comp.groupBy("band").agg(F.sum("c").alias("size"), F.max(F.struct("c", "comp")).alias("most"), F.count("*").alias("kinds")).where(F.col("kinds") > 1)
-    blocks = F.ceil(F.col("size") / p.block).cast("int")
+    # a grid of cells per bucket: a block of minority members (left) against a block of all (right)
+    of = lambda c: F.ceil(c / p.block).cast("int")
     placed = member.join(mixed, "band").select(
         "band",
         "id",
         "comp",
         (F.col("comp") != F.col("most.comp")).alias("minor"),
-        blocks.alias("blocks"),
-    )
-    home = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    spread = placed.select("band", "id", "comp", "minor", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(home))).alias("block"))
-    cross = (
-        spread.join(lookup, "id")
-        .groupBy("band", "block")
-        .applyInArrow(_cross_batches(p), f"a {kind}, b {kind}")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        F.xxhash64("id").alias("place"),
+        of(F.col("size")).alias("wide"),
+        of(F.col("size") - F.col("most.c")).alias("high"),
     )
-    cross = rt.materialize(cross, "cross")
-    if not cross.isEmpty():
-        more = _confirm(cross, reps, src, p, kind)
-        label = components(links.unionByName(more))
+    cell = lambda i, j, left: F.struct((i * F.col("wide") + j).alias("cell"), F.lit(left).alias("left"))
+    row, column = (F.pmod(F.col("place"), F.col(c)).cast("int") for c in ("high", "wide"))
+    as_right = F.transform(F.sequence(F.lit(0), F.col("high") - 1), lambda i: cell(i, column, False))
+    as_left = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda j: cell(row, j, True))
+    spread = placed.select("band", "id", "comp", "minor", "place", F.explode(F.when(F.col("minor"), F.concat(as_right, as_left)).otherwise(as_right)).alias("c"))
+    shape = f"band long, cell int, id {kind}, comp {kind}, left boolean, minor boolean, place long"
+    cells = spread.select("band", "c.cell", "id", "comp", "c.left", "minor", "place")
+    met_again = rt.materialize(cells.join(lookup, "id").groupBy("band", "cell").applyInArrow(_meet_batches(p), shape), "cross")
+    if not met_again.isEmpty():
+        sets = _full_sets(met_again.select("id"), src, p, kind)
+        more = met_again.join(sets, "id").groupBy("band", "cell").applyInArrow(_link_batches(p), f"a {kind}, b {kind}")
+        label = components(links.unionByName(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
     # Back to all rows: a row's set gives its representative, the representative its component.
     joined = (
         all_rows.select("id", "n", "key1", "key2")
