@@ -267,3 +267,30 @@ def test_op10(spark, small):
         assert r["n_chars"] == len(t) and 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
         prints.setdefault(t, set()).add(r["fingerprint"])
     assert all(len(p) == 1 for p in prints.values())
+
+
+def test_op6_links_across_components_in_small_cells(spark):
+    """Drifting copies: neighbours are linked, distant ones are not; cells of three rows."""
+    from cadastra.llm import setsketch
+
+    rng = random.Random(9)
+    docs = []
+    for k in range(8):
+        words = [f"w{rng.randrange(5000)}" for _ in range(120)]
+        for _ in range(12):
+            docs.append((rng.randrange(10**9), " ".join(words)))
+            words = list(words)
+            for _ in range(rng.randint(1, 4)):
+                words[rng.randrange(120)] = f"x{rng.randrange(5000)}"
+    sets = {d: {tuple(w[i : i + 3]) for i in range(len(w) - 2)} for d, w in ((d, t.split()) for d, t in docs)}
+    comp = {d: d for d in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if comp[b] < comp[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    comp[a], changed = comp[b], True
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in setsketch.near_duplicates(df, setsketch.Params(block=3)).collect()}
+    assert got == comp and 8 < len(set(comp.values())) < 96
