@@ -74,8 +74,8 @@ def _gram_keys(text: np.ndarray, off: np.ndarray, depth: int) -> list[np.ndarray
     """Keys of the (d+1)-grams, d = 0..depth, that have exactly the longest context their place
     allows.  The newest byte is lowest; a context never reaches beyond the END before its text."""
     line = np.concatenate((np.array([END], np.uint8), text)).astype(np.uint64)  # END before the first text
-    place = np.arange(len(text)) - np.repeat(off[:-1], np.diff(off))  # 0 for the first symbol of a text
-    room = np.minimum(place + 1, depth)
+    place = np.arange(len(text), dtype=np.int32) - np.repeat(off[:-1].astype(np.int32), np.diff(off))  # 0 for the first symbol of a text
+    room = np.minimum(place + 1, depth).astype(np.uint8)
     key = np.zeros(len(text), np.uint64)
     grams = []
     for k in range(depth + 1):
@@ -128,7 +128,7 @@ class _Counter:
         self.parts, self.held = {}, 0
 
 
-def _count_batches(depth: int, limit: int = 6_000_000):
+def _count_batches(depth: int, limit: int = 4_000_000):
     """Kind 0: tokens.  Kind d+1: grams with d bytes of context.  Only rows outside the fold."""
 
     def run(batches):
@@ -136,7 +136,7 @@ def _count_batches(depth: int, limit: int = 6_000_000):
         for batch in batches:
             batch = batch.filter(pa.compute.invert(batch.column(1)))
             data, offsets = bo.text_buffers(batch.column(0))
-            for i, j in bo.pieces(offsets, 4 << 20):
+            for i, j in bo.pieces(offsets, 1 << 20):
                 part, off = bo.LOWER[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i]
                 for a, b in bo.pieces(off):
                     piece, own = part[off[a] : off[b]], off[a : b + 1] - off[a]
