@@ -128,7 +128,7 @@ class _Counter:
         self.parts, self.held = {}, 0
 
 
-def _count_batches(depth: int, limit: int = 4_000_000):
+def _count_batches(depth: int, limit: int = 3_000_000):
     """Kind 0: tokens.  Kind d+1: grams with d bytes of context.  Only rows outside the fold."""
 
     def run(batches):
@@ -155,6 +155,7 @@ def _count_batches(depth: int, limit: int = 4_000_000):
                     if counter.held > limit // 2:
                         yield from counter.flush()
         yield from counter.flush()
+        pa.default_memory_pool().release_unused()  # the worker stays and other stages need the room
 
     return run
 
