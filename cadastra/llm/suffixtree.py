@@ -1,12 +1,9 @@
 """Language-model scores from a probabilistic suffix tree over the bytes of normalised texts.
 
 A text is read as its tokens (A-Z lower-cased, split at ASCII white space), each closed by a space,
-and an end symbol.  The tree gives every byte a probability, and so every token its spelled
-probability.  Contexts that reach back to a token's first byte are kept as the token's count.  The
-types are those of the base score, the V training tokens and one for all others: a known token has
-probability (1-g) (spelled + c/N) / 2, an unknown one the escape g, which is the share of tokens
-seen once (Good and Turing's estimate of the unseen).  These add up to at most 1.  The score is the
-log10 probability of the token sequence.
+and an end symbol.  The tree gives every byte a probability; the score is the log10 probability of
+the whole sequence of bytes, known tokens and unknown ones alike.  The base score has one type for
+all unknown tokens and does not spell them, so on texts with many of them it is the higher one.
 
 Training.  All documents outside the held-out fold are counted in one scan: n-grams of bytes up to
 ``depth`` + 1 and whole tokens, both as 64-bit keys, combined per task before the shuffle.  Contexts
@@ -250,8 +247,8 @@ def _folded(docs: DataFrame, modulus: int, held: int, id_col: str, text_col: str
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (rt.bucket_of(F.col(id_col), modulus) == held).alias("held_out"))
 
 
-def train(folded: DataFrame, *, depth: int = 6, least_bits: float = 30.0, share: float = 3e-6, weight: float = 8.0) -> tuple[Tree, DataFrame, int, int, int, float]:
-    """The tree, token counts (key, n), N, V, the number of ends and the escape, of the training rows."""
+def train(folded: DataFrame, *, depth: int = 6, least_bits: float = 30.0, share: float = 3e-6, weight: float = 8.0) -> tuple[Tree, DataFrame, int, int, int]:
+    """The tree, the token counts (key, n), N, V and the number of ends, all of the training rows."""
     src = folded.select("text", "held_out")
     counts = src.mapInArrow(_count_batches(depth), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     counts = rt.materialize(counts, "counts")
@@ -269,9 +266,7 @@ def train(folded: DataFrame, *, depth: int = 6, least_bits: float = 30.0, share:
     grams = {d: (key[kind == d + 1].view(np.uint64), n[kind == d + 1]) for d in range(depth + 1)}
     tree = build_tree(grams, depth, max(least_bits, share * symbols), weight)
     w_n, w_v = totals.get(0, (0, 0))
-    once = words.where("n = 1").count()
-    escape = min(0.99, max(0.01, once / max(1, w_n + ends)))
-    return tree, words, w_n + ends, w_v + (ends > 0), ends, escape
+    return tree, words, w_n + ends, w_v + (ends > 0), ends
 
 
 def _distinct_batches(batches):
@@ -292,7 +287,7 @@ def _distinct_batches(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), block, np.int32)), pa.array(k.view(np.int64))], names=["block", "key"])
 
 
-def _score_block(tree, total: int, distinct: int, ends: int, escape: float):
+def _score_block(tree, total: int, distinct: int, ends: int):
     import math
 
     unit = math.log10(total + distinct + 1)
@@ -318,18 +313,8 @@ def _score_block(tree, total: int, distinct: int, ends: int, escape: float):
             tokens[i:j] = np.diff(first) + 1
             known[i:j] = hits[first[1:]] - hits[first[:-1]] + (ends > 0)
             base[i:j] = sums[first[1:]] - sums[first[:-1]] + math.log10(ends + 1) - tokens[i:j] * unit
-            text, _, begins = stream(part, off)
-            spelled = np.add.reduceat(model.score(text), begins) * math.log(10)
-            last = np.cumsum(np.diff(first) + 1) - 1  # every text ends with one end token
-            seen = np.full(len(begins), float(ends))
-            word = np.ones(len(begins), bool)
-            word[last] = False
-            seen[word] = c
-            with np.errstate(divide="ignore"):
-                mixed = np.logaddexp(np.log(seen / max(total, 1)), spelled) + math.log((1 - escape) / 2)
-            mixed = np.where(seen > 0, mixed, math.log(escape)) / math.log(10)
-            sums = np.concatenate(([0.0], np.cumsum(mixed)))
-            score[i:j] = np.diff(sums[np.concatenate(([0], last + 1))])
+            text, own, _ = stream(part, off)
+            score[i:j] = np.add.reduceat(model.score(text), own[:-1])
         return pa.table(
             {"id": texts.column("id"), "held_out": texts.column("held_out"), "n_tokens": tokens, "n_known": known, "base_score": base, "score": score}
         )
@@ -342,7 +327,7 @@ def score_texts(docs: DataFrame, *, modulus: int = 7, held: int = 2, id_col: str
     spark = docs.sparkSession
     folded = _folded(docs, modulus, held, id_col, text_col)
     kind = dict(folded.dtypes)["id"]
-    tree, words, total, distinct, ends, escape = train(folded, **training)
+    tree, words, total, distinct, ends = train(folded, **training)
     shared = spark.sparkContext.broadcast(tree)
     blocks = max(rt.shuffle_width(spark), folded.select("held_out").count() // rows_per_block)
     # rows of one id are dealt apart, so that no id makes a block large
@@ -353,7 +338,7 @@ def score_texts(docs: DataFrame, *, modulus: int = 7, held: int = 2, id_col: str
     scored = (
         blocked.groupBy("block")
         .cogroup(told.groupBy("block"))
-        .applyInArrow(_score_block(shared, total, distinct, ends, escape), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        .applyInArrow(_score_block(shared, total, distinct, ends), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     )
     return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 

@@ -294,3 +294,22 @@ def test_op6_links_across_components_in_small_cells(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in setsketch.near_duplicates(df, setsketch.Params(block=3)).collect()}
     assert got == comp and 8 < len(set(comp.values())) < 96
+
+
+def test_op4_spells_unknown_tokens(spark):
+    """Texts of unknown tokens only: made of training syllables or garbled, against plain prose."""
+    from cadastra.llm import suffixtree
+
+    rng = random.Random(11)
+    fold = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    parts = ["ka", "lo", "mi", "ten", "ra", "su"]
+    words = ["".join(rng.choice(parts) for _ in range(3)) for _ in range(60)]
+    fresh = [w for w in ("".join(rng.choice(parts) for _ in range(4)) for _ in range(60)) if w not in words]
+    held, free = ([d for d in range(2000) if fold(d) == kind] for kind in (True, False))
+    docs = [(d, " ".join(rng.choice(words) for _ in range(60))) for d in free[:300]]
+    texts = {"prose": rng.choices(words, k=40), "fresh": rng.choices(fresh, k=40), "garbled": ["".join(rng.choice("qxzj#7") for _ in range(9)) for _ in range(40)]}
+    docs += [(d, " ".join(t)) for d, t in zip(held, texts.values(), strict=False)]
+    got = {r.doc_id: r for r in suffixtree.score_texts(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    prose, new, garbled = (got[d] for d in held[:3])
+    assert new.n_known == garbled.n_known == 1  # the end
+    assert prose.score > new.score > garbled.score + 40
