@@ -16,10 +16,11 @@ little about a host with few pages, so all hosts together form a second tree: a
 important in both (each where it has ``min_pages``).  What a page author names as furniture (nav,
 footer, aside, form, class "ad", "comments", ...) has importance 0 from the start: reader comments,
 say, are different on each page, which entropy alone takes for content.  Where a page has article
-elements with text, only those are searched.
+elements with text, only those are searched, and if entropy leaves nothing of them they stay whole.
 
-Scale.  Pages are parsed twice (statistics, extraction) and html is not shuffled while the noise
-table fits a broadcast; beyond that pages and noise meet in a join by host.  Statistics are combined
+Scale.  Pages are parsed twice (statistics, extraction).  For the statistics html is shuffled once,
+since copies of a page on its host count as one page.  For the extraction it is not shuffled while
+the noise table fits a broadcast; beyond that pages and noise meet in a join by host.  Statistics are combined
 per task and map-side; the table per host holds only distinct paths.
 
 Edge cases.  Null or empty html gives empty text.  Broken markup is read as far as it goes.  A null
@@ -237,7 +238,8 @@ def style_tree(pages: DataFrame, *, url_col: str = "url", html_col: str = "html"
     """Nodes of all trees: ``host`` (null for the tree of all hosts), ``path``, ``pages``,
     ``importance`` (composite) and ``peak`` (highest composite in the branch)."""
     src = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    counted = src.mapInArrow(_stat_batches, "host string, path string, kind int, feature long, pages long")
+    # a page counts once, however many copies of it the host has
+    counted = src.where(F.length("html") > 0).distinct().mapInArrow(_stat_batches, "host string, path string, kind int, feature long, pages long")
     by_host = rt.materialize(counted.groupBy("host", "path", "kind", "feature").agg(F.sum("pages").alias("pages")), "styles")
     everywhere = by_host.groupBy("path", "kind", "feature").agg(F.sum("pages").alias("pages")).withColumn("host", F.lit(None).cast("string"))
     both = by_host.unionByName(everywhere)
@@ -262,7 +264,9 @@ def text_of(html: str | None, noise: frozenset | set = frozenset()) -> str:
         return ""
     blocks = parse(html).blocks
     inside = any(x[3] and not x[2] for x in blocks)
-    return "\n".join(text for path, text, furniture, own in blocks if not furniture and (own or not inside) and path + "/#text" not in noise)
+    found = [(path, text) for path, text, furniture, own in blocks if not furniture and (own or not inside)]
+    left = [x for x in found if x[0] + "/#text" not in noise]
+    return "\n".join(text for _, text in (left if left or not inside else found))
 
 
 def _extract_batches(batches):

@@ -313,3 +313,17 @@ def test_op4_spells_unknown_tokens(spark):
     prose, new, garbled = (got[d] for d in held[:3])
     assert new.n_known == garbled.n_known == 1  # the end
     assert prose.score > new.score > garbled.score + 40
+
+
+def test_op2_keeps_text_of_copied_pages(spark):
+    """Hosts of 7 and 9 copies of a page and of 3 pages in 6 copies; articles alike but for a counter."""
+    from cadastra.llm import styletree
+
+    page = lambda k, n=0: f"<html><body><div class='story'><p>A long paragraph of {'xyz'[k]} alone.</p></div><!-- {n} --></body></html>"
+    rows = [("http://seven.org/", page(0))] * 7 + [("http://nine.org/", page(0))] * 9 + [("http://three.org/", page(k)) for k in range(3) for _ in range(6)]
+    counted = [("http://article.org/", f"<body><article><p>The same words.</p></article><div class='counter'><!-- {k} --></div></body>") for k in range(12)]
+    pages = [(i, *r) for i, r in enumerate(rows + counted)]
+    got = {r.page_id: r.text for r in styletree.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(pages)
+    for i, _, html in pages:
+        assert got[i] == ("The same words." if "<article>" in html else re.search("<p>(.*)</p>", html)[1])
