@@ -53,7 +53,7 @@ BLOCKS = frozenset(
 RAW = "script|style|noscript|template|title|textarea|iframe|svg|math|select|object|audio|video|canvas|button|head"
 #: Elements that are furniture by definition.
 FURNITURE_TAGS = frozenset("nav footer aside form menu search dialog fieldset".split())
-#: Words in a class or id that mark furniture.
+#: Words that mark furniture as a whole class token or id, or as its first or last word.
 FURNITURE_WORDS = frozenset(
     "nav navbar navigation menu header masthead topbar banner footer sidebar aside rail ad ads advert advertisement adverts adsense sponsor sponsored promo promotion"
     " cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup share sharing social related recommended"
@@ -61,6 +61,10 @@ FURNITURE_WORDS = frozenset(
 )
 #: Words that say a "header" is the article's own.
 OWN_WORDS = frozenset("article entry post story title content body headline".split())
+#: Words of a layout state: "has-sidebar" and "comments-open" tell of furniture elsewhere.
+STATE_WORDS = frozenset("has have with without no not is are hide hides show shows on off open opened closed active inactive enabled disabled visible hidden collapsed expanded".split())
+#: Elements that hold the page's own text whatever their names say.
+OWN_TAGS = frozenset("html body main article".split())
 #: A start tag of the first closes an open element of the second.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 
@@ -85,8 +89,7 @@ def _name(tag: str, attrs: str) -> tuple[str, bool]:
     known = _names.get((tag, attrs))
     if known is None:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _CLASS.finditer(attrs)}
-        words = {w.lower() for v in found.values() for w in _WORD.findall(v)}
-        furniture = tag in FURNITURE_TAGS or bool(words & FURNITURE_WORDS) and not (words & OWN_WORDS and not words & (FURNITURE_WORDS - {"header", "banner"}))
+        furniture = tag in FURNITURE_TAGS or tag not in OWN_TAGS and _furnished([t for v in found.values() for t in v.split()])
         name = tag + "".join("." + c for c in sorted(found.get("class", "").split())) + ("#" + found["id"] if found.get("id") else "")
         known = (_DIGITS.sub("0", name).replace("/", "_"), furniture)
         if len(_names) < 50_000:
@@ -94,6 +97,16 @@ def _name(tag: str, attrs: str) -> tuple[str, bool]:
     return known
 
 
+def _furnished(tokens: list[str]) -> bool:
+    """Whether class tokens and id name furniture.  A compound does so by its first or last word, unless
+    it tells a state or another token is the plain name of the page's own text."""
+    split = [[w.lower() for w in _WORD.findall(t)] for t in tokens]
+    plain = {w[0] for w in split if len(w) == 1}
+    ends = {w for x in split if x and not STATE_WORDS & set(x) for w in (x[0], x[-1])} if not plain & OWN_WORDS else plain
+    words = {w for x in split for w in x}
+    return bool(ends & FURNITURE_WORDS) and not (words & OWN_WORDS and not ends & (FURNITURE_WORDS - {"header", "banner"}))
+
+
 class Page:
     """Blocks of a page in order and, per path, the order of its children."""
 

@@ -327,3 +327,15 @@ def test_op2_keeps_text_of_copied_pages(spark):
     assert len(got) == len(pages)
     for i, _, html in pages:
         assert got[i] == ("The same words." if "<article>" in html else re.search("<p>(.*)</p>", html)[1])
+
+
+@pytest.mark.parametrize(
+    "start",
+    ["<body class='single has-sidebar'>", "<body class='related-on'>", "<body><div class='content with-sidebar'>", "<body><article class='post comments-open'>", "<body><main id='main-nav'>", "<body><div class='page menu-open'>", "<body><div class='my-search-page'>"],
+)
+def test_op2_keeps_text_of_wrappers_that_name_furniture(start):
+    from cadastra.llm import styletree
+
+    furniture = "".join(f"<div class='{c}'>out</div>" for c in ("sidebar", "site-footer", "comment-list", "x related-posts", "cookieBanner", "entry comments", "ad"))
+    assert styletree.text_of(f"<html>{start}<p>The text.</p>{furniture}</html>") == "The text."
+    assert styletree.text_of("<body><div class='entry-header'>The head.</div><div class='header'>out</div></body>") == "The head."
