@@ -10,8 +10,9 @@ least priority below 2^s: the samples of two scales share every position that bo
 texts of different lengths stay comparable.  A sampled symbol is a hash of two characters in four
 bits (0: past the end).  Likeness is the share of equal symbols, corrected for chance.
 
-``near_pairs`` cuts fingerprints into bands of sampled positions, meets texts per band at one hub
-(no all-pairs within a bucket) and verifies each candidate by likeness.
+``near_pairs`` cuts the positions that a scale shares with itself and with the next one into bands
+and verifies every two texts that agree in a band by likeness.  Its links, and the comparisons, grow
+with the square of the texts alike.  No query calls it.
 
 Edge cases.  Null text: empty, with a fingerprint of its own.  Equal texts have equal fingerprints.
 Repeated ids are ordered by text.  Null ids come last.  A single document is its own neighbour.
@@ -243,16 +244,34 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return out.withColumnRenamed("doc_id", id_col)
 
 
+def _band_keys(fingerprint: str, band: int) -> list[str]:
+    """Bands of the positions shared with the own scale and with both neighbours, without empty ones."""
+    scale, body, out = int(fingerprint[:2], 16), fingerprint[2:], []
+    at = sample_positions(scale)
+    for other in (scale - 1, scale, scale + 1):
+        if not _MIN_SCALE <= other <= _MAX_SCALE:
+            continue
+        shared = np.flatnonzero(np.isin(at, sample_positions(other)))
+        for i in range(len(shared) // band):
+            key = "".join(body[k] for k in shared[i * band : (i + 1) * band])
+            if key.strip("0"):
+                out.append(f"{min(scale, other)}-{max(scale, other)}:{i}:{key}")
+    return out
+
+
 def near_pairs(prints: DataFrame, *, id_col: str = "doc_id", print_col: str = "fingerprint", band: int = 8, least: float = 0.8) -> DataFrame:
     """Links (a, b, likeness) between fingerprints that agree in a band of ``band`` samples and have
-    at least the likeness ``least``.  Equal fingerprints collapse to the smallest id first; in each
-    band bucket every member is verified against the bucket's smallest id."""
+    at least the likeness ``least``; ``a`` is the smaller id.  Equal fingerprints collapse to the
+    smallest id first.  Scales further apart than one step are not compared."""
     one = prints.groupBy(F.col(print_col).alias("p")).agg(F.min(id_col).alias("id"))
-    scale, body = F.substring("p", 1, 2), F.substring("p", 3, SAMPLES)
-    bands = one.select("id", "p", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(SAMPLES // band - 1)), lambda i: F.substr(body, i * band + 1, F.lit(band)))).alias("i", "key"), scale.alias("s"))
-    filled = bands.where(~F.col("key").rlike("^0+$"))
-    hubs = filled.groupBy("s", "i", "key").agg(F.min(F.struct("id", "p")).alias("hub"), F.count("*").alias("n")).where(F.col("n") > 1)
-    pairs = filled.join(hubs, ["s", "i", "key"]).where(F.col("id") != F.col("hub.id")).select(F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.p").alias("pa"), F.col("p").alias("pb")).distinct()
+
+    @F.pandas_udf("array<string>")
+    def keys_of(p: pd.Series) -> pd.Series:
+        return pd.Series([_band_keys(x, band) for x in p], dtype=object)
+
+    bands = one.select("id", "p", F.explode(keys_of("p")).alias("key"))
+    x, y = (bands.select("key", F.col("id").alias(n), F.col("p").alias("p" + n)) for n in "ab")
+    pairs = x.join(y, "key").where(F.col("a") < F.col("b")).select("a", "b", "pa", "pb").distinct()
 
     @F.pandas_udf("double")
     def compare(x: pd.Series, y: pd.Series) -> pd.Series:

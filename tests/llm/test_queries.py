@@ -339,3 +339,31 @@ def test_op2_keeps_text_of_wrappers_that_name_furniture(start):
     furniture = "".join(f"<div class='{c}'>out</div>" for c in ("sidebar", "site-footer", "comment-list", "x related-posts", "cookieBanner", "entry comments", "ad"))
     assert styletree.text_of(f"<html>{start}<p>The text.</p>{furniture}</html>") == "The text."
     assert styletree.text_of("<body><div class='entry-header'>The head.</div><div class='header'>out</div></body>") == "The head."
+
+
+def test_near_pairs_against_brute_force(spark):
+    """Texts that share one opening, near copies inside and near copies across a step of length."""
+    import numpy as np
+    from cadastra.llm import editprint
+
+    rng = random.Random(3)
+    line = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    opening, texts = line(60), []
+    for _ in range(20):
+        body = opening + line(540)
+        texts += [body, body[:500] + line(5) + body[505:], body[:590] + line(10)]
+    for _ in range(10):
+        body = line(341)
+        texts += [body, body + "x", body + "yz"]
+    scales, nibbles = editprint.embed(texts)
+    i, j = np.triu_indices(len(texts), 1)
+    near = editprint.likeness(scales[i], nibbles[i], scales[j], nibbles[j])
+    want = {(a, b) for a, b, x in zip(i.tolist(), j.tolist(), near, strict=True) if x >= 0.8}
+    rows = list(enumerate(editprint.render(scales, nibbles)))
+    seen = {p: k for k, p in reversed(rows)}  # equal fingerprints collapse to the smallest id
+    want = {tuple(sorted((seen[rows[a][1]], seen[rows[b][1]]))) for a, b in want}
+    want = {x for x in want if x[0] != x[1]}
+    got = {(r.a, r.b) for r in editprint.near_pairs(spark.createDataFrame(rows, "doc_id long, fingerprint string")).collect()}
+    across = {(a, b) for a, b in want if scales[a] != scales[b]}
+    print(len(want), len(got), len(across), len(across & got))
+    assert got <= want and across and len(got & across) >= 0.95 * len(across) and len(got) >= 0.95 * len(want)
