@@ -84,5 +84,15 @@ def bucket_of(key: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def bounded_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Let Arrow batches hold at most about ``limit`` bytes (a longer row stands alone): a Python
+    worker's memory then follows the longest text, not the number of rows of a batch."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    size, unit = int(now.rstrip("bkmgBKMG")), now.lstrip("0123456789").lower()[:1]
+    if size <= 0 or size * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit, 1) > limit:
+        spark.conf.set(key, str(limit))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

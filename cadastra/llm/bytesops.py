@@ -58,6 +58,41 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         i = min(j, n)
 
 
+def sliced(data: np.ndarray, offsets: np.ndarray, limit: int = PIECE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of slices and the text that each slice is of.  A text of more than ``limit`` bytes is
+    cut at the first white space after every ``limit`` bytes, so no word is cut."""
+    long = np.flatnonzero(np.diff(offsets) > limit)
+    if not len(long):
+        return offsets, np.arange(len(offsets) - 1)
+    cuts, owner, done = [], [], 0
+    for d in long:
+        cuts.append(offsets[done : d + 1])
+        owner.append(np.arange(done, d + 1))
+        at, end, own = int(offsets[d]), int(offsets[d + 1]), []
+        while end - at > limit:
+            at = next((a + int(hit[0]) for a in range(at + limit, end, 1 << 16) if len(hit := np.flatnonzero(SPACE[data[a : min(end, a + (1 << 16))]]))), end)
+            if at < end:
+                own.append(at)
+        cuts.append(np.array(own, np.int64))
+        owner.append(np.full(len(own), d))
+        done = d + 1
+    cuts.append(offsets[done:])
+    owner.append(np.arange(done, len(offsets) - 1))
+    return np.concatenate(cuts), np.concatenate(owner)
+
+
+def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts and the n+1 offsets, read slice by slice."""
+    cuts, owner = sliced(data, offsets)
+    out, n = [], np.zeros(len(offsets) - 1, np.int64)
+    for i, j in pieces(cuts):
+        part, off = LOWER[data[cuts[i] : cuts[j]]], cuts[i : j + 1] - cuts[i]
+        starts, ends, first = word_spans(part, off)
+        out.append(word_hashes(part, starts, ends))
+        np.add.at(n, owner[i:j], np.diff(first))
+    return np.concatenate([np.zeros(0, np.uint64), *out]), np.concatenate(([0], np.cumsum(n)))
+
+
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverse
     if len(_powers) < n:
@@ -120,8 +155,9 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.nda
 
 def count_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Number of words of each document."""
+    cuts, owner = sliced(data, offsets)
     out = np.zeros(len(offsets) - 1, np.int64)
-    for i, j in pieces(offsets):
-        a, b = offsets[i], offsets[j]
-        out[i:j] = np.diff(word_spans(data[a:b], offsets[i : j + 1] - a)[2])
+    for i, j in pieces(cuts):
+        a, b = cuts[i], cuts[j]
+        np.add.at(out, owner[i:j], np.diff(word_spans(data[a:b], cuts[i : j + 1] - a)[2]))
     return out

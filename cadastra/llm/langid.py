@@ -8,8 +8,12 @@ bytes; whole texts are scored in lanes of the same length, so no text is cut sho
 a batch advance in step.
 
 Training rows.  Labels are the non-null values of ``lang`` outside the held-out fold.  The network is
-fitted on a bounded sample: about ``per_class`` rows of each label, chosen by a hash of the id (the
-fraction comes from exact counts of all labels), one lane-aligned passage of ``passage`` bytes each.
+fitted on a bounded sample: about ``per_class`` rows of each label, those of least hash of the id (the
+fraction comes from exact counts of all labels), twice that many in all at most.  Their whole texts
+go to the driver, and lanes are drawn from any place of them.
+
+Memory.  Texts are read in slices of about ``SLICE`` bytes; a longer text begins a new lane at each slice
+and its slices are summed, so a worker holds arrays for slices, never for a whole batch or text.
 
 Edge cases.  Null text, or text without a letter: ``und`` with score 0.  No labelled rows: ``und``
 for all.  One label: that label.  Rows are scored one by one, repeated or not.
@@ -165,16 +169,15 @@ def fit(passages: list[tuple[bytes, str]], labels: list[str], *, hidden: int, la
     return net
 
 
-def pooled(net: Network, data: np.ndarray, offsets: np.ndarray, lane: int, width: int = 2048) -> np.ndarray:
-    """Mean label probabilities of the letter positions of each text (zeros where there are none)."""
+def _sums(net: Network, data: np.ndarray, offsets: np.ndarray, lane: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Summed label probabilities of the letter positions of each text, and their number."""
     text, off = letters_only(data, offsets)
     n, k = len(off) - 1, len(net.labels)
     lanes_of = -(-np.diff(off) // lane)
     first = np.concatenate(([0], np.cumsum(lanes_of)))
     grid = np.full((first[-1], lane), GAP, np.uint8)
-    doc = np.repeat(np.arange(n), np.diff(off))
-    place = np.arange(len(text)) - off[doc]
-    grid.reshape(-1)[first[doc] * lane + place] = text
+    shift = (first[:-1] * lane - off[:-1]).astype(np.int32)
+    grid.reshape(-1)[np.arange(len(text), dtype=np.int32) + np.repeat(shift, np.diff(off))] = text
     total, seen = np.zeros((first[-1], k)), (grid != GAP).sum(1)
     for a in range(0, first[-1], width):
         block = np.ascontiguousarray(grid[a : a + width].T)
@@ -182,8 +185,27 @@ def pooled(net: Network, data: np.ndarray, offsets: np.ndarray, lane: int, width
         total[a : a + width] = np.einsum("tnk,tn->nk", prob, (block != GAP).astype(np.float32))
     sums = np.concatenate((np.zeros((1, k)), np.cumsum(total, 0)))
     letters = np.concatenate(([0], np.cumsum(seen)))
-    count = (letters[first[1:]] - letters[first[:-1]])[:, None]
-    return (sums[first[1:]] - sums[first[:-1]]) / np.maximum(count, 1)
+    return sums[first[1:]] - sums[first[:-1]], letters[first[1:]] - letters[first[:-1]]
+
+
+SLICE = 1 << 18
+
+
+def pooled(net: Network, data: np.ndarray, offsets: np.ndarray, lane: int, width: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """Mean label probabilities of the letter positions of each text (zeros where there are none),
+    and whether an ASCII letter occurs."""
+    n = len(offsets) - 1
+    total, seen, known = np.zeros((n, len(net.labels))), np.zeros(n, np.int64), np.zeros(n, bool)
+    cuts, owner = bo.sliced(data, offsets, SLICE)
+    for i, j in bo.pieces(cuts, SLICE):
+        part, off, of = data[cuts[i] : cuts[j]], cuts[i : j + 1] - cuts[i], owner[i:j]
+        plain = np.concatenate(([0], np.cumsum(_LETTER[part] & (part < 128), dtype=np.int32)))
+        np.logical_or.at(known, of, plain[off[1:]] > plain[off[:-1]])
+        if net.labels:
+            sums, count = _sums(net, part, off, lane, width)
+            np.add.at(total, of, sums)
+            np.add.at(seen, of, count)
+    return total / np.maximum(seen, 1)[:, None], known
 
 
 def _has_letter(text: str) -> bool:
@@ -196,27 +218,21 @@ def _predict_batches(shared, lane: int):
         for batch in batches:
             column = batch.column(2)
             data, offsets = bo.text_buffers(column)
-            ascii_letters = np.concatenate(([0], np.cumsum(_LETTER[bo.LOWER[data]] & (data < 128))))
-            known = ascii_letters[offsets[1:]] > ascii_letters[offsets[:-1]]
+            prob, known = pooled(net, data, offsets, lane)
             for i in np.flatnonzero(~known & (np.diff(offsets) > 0)):
                 known[i] = _has_letter(column[int(i)].as_py())
-            best, score = [], np.zeros(len(column))
-            for i, j in bo.pieces(offsets, 1 << 20):
-                if net.labels:
-                    p = pooled(net, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], lane)
-                    top = p.argmax(1)
-                    score[i:j] = p[np.arange(j - i), top]
-                    best += [net.labels[t] for t in top]
-                else:
-                    best += ["und"] * (j - i)
-            lang = [b if k else "und" for b, k in zip(best, known, strict=True)]
-            score = np.where(known & bool(net.labels), np.clip(score, 0, 1), 0.0)
+            if net.labels:
+                top = prob.argmax(1)
+                lang = [net.labels[t] if k else "und" for t, k in zip(top, known, strict=True)]
+                score = np.where(known, np.clip(prob[np.arange(len(top)), top], 0, 1), 0.0)
+            else:
+                lang, score = ["und"] * len(known), np.zeros(len(known))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score)], names=["id", "held_out", "lang_pred", "score"])
 
     return run
 
 
-def train(docs: DataFrame, *, modulus: int, held: int, id_col: str, text_col: str, lang_col: str, per_class: int, passage: int, hidden: int, lane: int, steps: int, batch: int) -> Network:
+def train(docs: DataFrame, *, modulus: int, held: int, id_col: str, text_col: str, lang_col: str, per_class: int, hidden: int, lane: int, steps: int, batch: int) -> Network:
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where((rt.bucket_of(F.col("id"), modulus) != held) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -227,8 +243,8 @@ def train(docs: DataFrame, *, modulus: int, held: int, id_col: str, text_col: st
     share = F.lit(0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, int(min(1_000_000, 1_000_000 * per_class / n + 1))).otherwise(share)
-    start = F.lit(1) + F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - passage, F.lit(1))).cast("int")
-    sample = rows.where(draw < share).select("lang", F.substr("text", start, F.lit(passage)).alias("text")).limit(4 * per_class * len(labels)).toArrow()
+    # ids of least hash first: which rows are taken does not depend on the layout of the files
+    sample = rows.where(draw < share).orderBy(draw, F.xxhash64("text")).limit(2 * per_class * len(labels)).select("lang", "text").toArrow()
     data, offsets = bo.text_buffers(sample.column("text"))
     text, off = letters_only(data, offsets)
     raw = text.tobytes()
@@ -238,10 +254,11 @@ def train(docs: DataFrame, *, modulus: int, held: int, id_col: str, text_col: st
 
 def identify(
     docs: DataFrame, *, modulus: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    per_class: int = 600, passage: int = 2000, hidden: int = 8, lane: int = 64, steps: int = 260, batch: int = 96,
+    per_class: int = 400, hidden: int = 8, lane: int = 64, steps: int = 260, batch: int = 96,
 ) -> DataFrame:
     """Per row: id, ``held_out``, ``lang_pred``, ``score``."""
-    net = train(docs, modulus=modulus, held=held, id_col=id_col, text_col=text_col, lang_col=lang_col, per_class=per_class, passage=passage, hidden=hidden, lane=lane, steps=steps, batch=batch)
+    net = train(docs, modulus=modulus, held=held, id_col=id_col, text_col=text_col, lang_col=lang_col, per_class=per_class, hidden=hidden, lane=lane, steps=steps, batch=batch)
+    rt.bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a few kilobytes, whatever the corpus
     src = docs.select(F.col(id_col).alias("id"), (rt.bucket_of(F.col(id_col), modulus) == held).alias("held_out"), F.col(text_col).alias("text"))
     out = src.mapInArrow(_predict_batches(shared, lane), f"id {dict(src.dtypes)['id']}, held_out boolean, lang_pred string, score double")

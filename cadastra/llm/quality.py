@@ -4,17 +4,24 @@ in numpy with temperature-calibrated probabilities.
 Tokens are runs of letters, digits or one kind of other characters, lower-cased; a token in capitals
 or equal to one of the two before it adds a marker token.  Every token falls into one of ``buckets``
 rows of a table.  Each row has a sparse random index vector (a few entries of +1 or -1, from its
-number alone); a word's vector is the sum of the index vectors of its neighbours over the training
-sample, damped and scaled to unit length.  A document is the mean of its tokens' word vectors beside
-the mean of their index vectors.  The network's logit is divided by a temperature fitted on rows
-that the network was not trained on.
+number alone); a word's vector is the sum of the index vectors of its neighbours in all documents,
+less what the mean neighbour would give, damped and scaled to unit length.  A document is the mean of its tokens' word vectors beside the mean
+of their index vectors.  The network's logit is divided by a temperature fitted on rows that the
+network was not trained on.
 
-Training rows.  Labelled rows outside the held-out fold; at most about ``sample_rows`` of them by a
-hash of the id, with ``sample_chars`` characters from a hashed place of each.  Whole texts are
-scored.
+Word vectors are corpus statistics without labels: every task sums whole-number vectors for its texts,
+and the sums are added by table row (``buckets`` rows a task, whatever its text).
+
+Training rows.  Labelled rows outside the held-out fold; about ``sample_rows`` of them, twice that
+many at most, those of least hash of the id.  Their whole texts are pooled on the executors; the driver
+gets one vector a row.
+
+Memory.  A text is read in slices of about half a megabyte, cut at white space; what a repeated token
+follows is looked for within its slice.
 
 Edge cases.  Empty or null text: zero vector, scored like any other.  No labels, or one class only:
-every score is the smoothed base rate.  A null label is no label.
+every score is the smoothed base rate.  A null label is no label.  Of several labels of one id the
+largest counts.
 """
 
 from __future__ import annotations
@@ -71,12 +78,25 @@ def token_rows(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.
     return out, at[first]
 
 
-def index_vectors(buckets: int, width: int, nonzero: int = 4) -> np.ndarray:
+def index_vectors(buckets: int, width: int, nonzero: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs (buckets x nonzero) of the index vectors' entries."""
     rng = np.random.Generator(np.random.PCG64(909))
-    out = np.zeros((buckets, width), np.float32)
-    for _ in range(nonzero):
-        out[np.arange(buckets), rng.integers(0, width, buckets)] += rng.choice([-1.0, 1.0], buckets).astype(np.float32)
-    return out
+    return rng.integers(0, width, (buckets, nonzero)), rng.choice([-1.0, 1.0], (buckets, nonzero))
+
+
+def neighbour_sums(rows: np.ndarray, first: np.ndarray, place: np.ndarray, sign: np.ndarray, width: int, reach: int = 2) -> np.ndarray:
+    """For each table row the sum (buckets x width) of the index vectors of its tokens' neighbours
+    within ``reach`` tokens of the same text."""
+    buckets = len(place)
+    out = np.zeros(buckets * width)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    for shift in range(1, reach + 1):
+        same = text[shift:] == text[:-shift]
+        a, b = rows[:-shift][same], rows[shift:][same]
+        for own, other in ((a, b), (b, a)):
+            for k in range(place.shape[1]):
+                out += np.bincount(own * width + place[other, k], sign[other, k], buckets * width)
+    return out.reshape(buckets, width)
 
 
 class Model:
@@ -84,59 +104,50 @@ class Model:
 
     def __init__(self, buckets: int, width: int):
         self.buckets, self.width, self.rate = buckets, width, 0.5
-        self.index = index_vectors(buckets, width)
-        self.word = np.zeros_like(self.index)
+        place, sign = index_vectors(buckets, width)
+        index = np.zeros((buckets, width), np.float32)
+        np.add.at(index, (np.arange(buckets)[:, None], place), sign)
+        #: word vector beside index vector of each table row
+        self.both = np.concatenate((np.zeros_like(index), index), 1)
         self.layers: tuple | None = None
         self.temperature = 1.0
 
-    def learn_words(self, rows: np.ndarray, first: np.ndarray, reach: int = 2) -> None:
-        """Sum the index vectors of neighbours within ``reach`` tokens of the same text."""
-        doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        order = np.argsort(rows, kind="stable")
-        used, start = np.unique(rows[order], return_index=True)
-        for shift in [s for s in range(-reach, reach + 1) if s]:
-            at = np.clip(order + shift, 0, max(len(rows) - 1, 0))
-            same = (doc[at] == doc[order]) & (order + shift >= 0) & (order + shift < len(rows))
-            for a in range(0, len(used), 4096):  # bounded temporaries
-                lo, hi = start[a], start[a + 4096] if a + 4096 < len(used) else len(order)
-                part = self.index[rows[at[lo:hi]]] * same[lo:hi, None]
-                self.word[used[a : a + 4096]] += np.add.reduceat(part, start[a : a + 4096] - lo)
-        self.word = np.sign(self.word) * np.sqrt(np.abs(self.word))
-        self.word /= np.maximum(np.linalg.norm(self.word, axis=1, keepdims=True), 1e-6)
-
-    def pool(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
-        both = np.concatenate((self.word, self.index), 1) if not hasattr(self, "_both") else self._both
-        self._both = both
-        out = np.zeros((len(first) - 1, 2 * self.width), np.float32)
-        for d in range(len(first) - 1):
-            r = rows[first[d] : first[d + 1]]
-            for a in range(0, len(r), 4096):
-                out[d] += both.take(r[a : a + 4096], axis=0).sum(0)
-            out[d] /= max(1, len(r))
-        return out
+    def set_words(self, rows: np.ndarray, sums: np.ndarray, seen: np.ndarray) -> None:
+        """``sums`` of table rows that ``seen`` tokens fell into.  What the corpus' mean neighbour
+        would give as many tokens is taken away: frequent words would else make all vectors alike."""
+        sums = sums - seen[:, None] * (sums.sum(0) / max(1, seen.sum()))
+        word = np.sign(sums) * np.sqrt(np.abs(sums))
+        self.both[rows, : self.width] = word / np.maximum(np.linalg.norm(word, axis=1, keepdims=True), 1e-6)
+
+    def pool(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """A vector per text: the mean over its tokens."""
+        cuts, owner = bo.sliced(data, offsets)
+        out, count = np.zeros((len(offsets) - 1, 2 * self.width)), np.zeros(len(offsets) - 1, np.int64)
+        for i, j in bo.pieces(cuts):
+            rows, first = token_rows(data[cuts[i] : cuts[j]], cuts[i : j + 1] - cuts[i], self.buckets)
+            np.add.at(count, owner[i:j], np.diff(first))
+            for d in range(j - i):
+                r = rows[first[d] : first[d + 1]]
+                for a in range(0, len(r), 4096):
+                    out[owner[i + d]] += self.both.take(r[a : a + 4096], axis=0).sum(0)
+        return (out / np.maximum(count, 1)[:, None]).astype(np.float32)
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         centre, scale, w1, b1, w2, b2 = self.layers
         return np.tanh(((x - centre) / scale) @ w1 + b1) @ w2 + b2
 
-    def score(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.layers is None:
-            return np.full(len(first) - 1, self.rate)
-        return 1 / (1 + np.exp(-np.clip(self.logits(self.pool(rows, first)) / self.temperature, -40, 40)))
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_both"}
+            return np.full(len(offsets) - 1, self.rate)
+        return 1 / (1 + np.exp(-np.clip(self.logits(self.pool(data, offsets)) / self.temperature, -40, 40)))
 
 
-def fit(texts: pa.ChunkedArray, labels: np.ndarray, *, buckets: int, width: int, hidden: int, steps: int) -> Model:
-    model = Model(buckets, width)
+def fit(model: Model, x: np.ndarray, labels: np.ndarray, *, hidden: int, steps: int) -> Model:
+    """Train the network on pooled vectors ``x``, then the temperature on a fifth kept apart."""
     model.rate = float((labels.sum() + 1) / (len(labels) + 2))
     if len(labels) < 8 or labels.min() == labels.max():
         return model
-    data, offsets = bo.text_buffers(texts)
-    rows, first = token_rows(data, offsets, buckets)
-    model.learn_words(rows, first)
-    x, y = model.pool(rows, first), labels.astype(np.float32)
+    y = labels.astype(np.float32)
     rng = np.random.Generator(np.random.PCG64(31))
     mixed = rng.permutation(len(y))
     cut = max(1, len(y) // 5)
@@ -165,29 +176,69 @@ def fit(texts: pa.ChunkedArray, labels: np.ndarray, *, buckets: int, width: int,
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, *, modulus: int, held: int, id_col: str, text_col: str, label_col: str, sample_rows: int, sample_chars: int, buckets: int, width: int, hidden: int, steps: int) -> Model:
+def _word_batches(buckets: int, width: int):
+    """Per task the neighbour sums of its texts: ``row`` of the table, ``width`` whole numbers and
+    the number of tokens."""
+
+    def run(batches):
+        place, sign = index_vectors(buckets, width)
+        total = np.zeros((buckets, width + 1))
+        for batch in batches:
+            data, offsets = bo.text_buffers(batch.column(0))
+            cuts, _ = bo.sliced(data, offsets)
+            for i, j in bo.pieces(cuts, 1 << 21):
+                rows, first = token_rows(data[cuts[i] : cuts[j]], cuts[i : j + 1] - cuts[i], buckets)
+                total[:, :width] += neighbour_sums(rows, first, place, sign, width)
+                total[:, width] += np.bincount(rows, minlength=buckets)
+        used = np.flatnonzero(total.any(1))
+        for a in range(0, len(used), 4096):
+            own = used[a : a + 4096]
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *[pa.array(total[own, k].astype(np.int64)) for k in range(width + 1)]], names=["row", *[f"v{k}" for k in range(width + 1)]])
+
+    return run
+
+
+def learn_words(texts: DataFrame, model: Model) -> None:
+    """Set the word vectors from all ``texts`` (one column)."""
+    names = [f"v{k}" for k in range(model.width + 1)]
+    sums = texts.mapInArrow(_word_batches(model.buckets, model.width), "row int, " + ", ".join(f"{v} long" for v in names)).groupBy("row").agg(*[F.sum(v).alias(v) for v in names])
+    got = sums.toArrow()  # at most ``buckets`` rows
+    vectors = np.stack([got.column(v).to_numpy() for v in names], 1).astype(float)
+    model.set_words(got.column("row").to_numpy(), vectors[:, :-1], vectors[:, -1])
+
+
+def _pool_batches(shared):
+    def run(batches):
+        for batch in batches:
+            x = shared.value.pool(*bo.text_buffers(batch.column(0)))
+            flat = pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([batch.column(1), flat], names=["label", "x"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, *, modulus: int, held: int, id_col: str, text_col: str, label_col: str, sample_rows: int, buckets: int, width: int, hidden: int, steps: int) -> Model:
     spark = docs.sparkSession
+    model = Model(buckets, width)
+    learn_words(docs.select(F.col(text_col).alias("text")), model)
     marked = labels.where(F.col(label_col).isNotNull() & (rt.bucket_of(F.col(id_col), modulus) != held)).select(F.col(id_col).alias("lid"), F.col(label_col).cast("int").alias("label"))
-    n = marked.count()
     draw = F.pmod(F.xxhash64("lid", F.lit("quality")), F.lit(1_000_000))
-    chosen = marked.where(draw < int(min(1_000_000, 1_000_000 * sample_rows / max(n, 1) + 1)))
-    chosen = rt.materialize(chosen.groupBy("lid").agg(F.max("label").alias("label")), "labelled")
-    length = F.greatest(F.length("text") - sample_chars, F.lit(1))
-    text = F.substr("text", F.lit(1) + F.pmod(F.xxhash64("lid"), length).cast("int"), F.lit(sample_chars))
+    share = int(min(1_000_000, 1_000_000 * sample_rows / max(marked.count(), 1) + 1))
+    chosen = marked.where(draw < share).groupBy("lid").agg(F.max("label").alias("label")).orderBy(draw).limit(2 * sample_rows)
+    chosen = rt.materialize(chosen, "labelled")  # 2 x sample_rows pairs of an id and a label at most: fit to be broadcast
     src = docs.select(F.col(id_col).alias("did"), F.col(text_col).alias("text"))
-    got = src.join(F.broadcast(chosen), src["did"] == chosen["lid"]).select(text.alias("text"), "label").limit(2 * sample_rows).toArrow()
-    return fit(got.column("text"), got.column("label").to_numpy().astype(int), buckets=buckets, width=width, hidden=hidden, steps=steps)
+    found = src.join(F.broadcast(chosen), src["did"] == chosen["lid"]).select("text", "label")
+    pooled = found.mapInArrow(_pool_batches(spark.sparkContext.broadcast(model)), "label int, x array<float>")
+    # rows that share a drawn id may be many: 2 x sample_rows vectors go to the driver at most, in an order of their own
+    got = pooled.orderBy(F.xxhash64("x"), "label").limit(2 * sample_rows).toArrow()
+    x = np.array(got.column("x").to_pylist(), np.float32).reshape(-1, 2 * width)
+    return fit(model, x, got.column("label").to_numpy().astype(int), hidden=hidden, steps=steps)
 
 
 def _score_batches(shared):
     def run(batches):
-        model = shared.value
         for batch in batches:
-            data, offsets = bo.text_buffers(batch.column(2))
-            score = np.zeros(batch.num_rows)
-            for i, j in bo.pieces(offsets):
-                rows, first = token_rows(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], model.buckets)
-                score[i:j] = model.score(rows, first)
+            score = shared.value.score(*bo.text_buffers(batch.column(2))).astype(float)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score)], names=["id", "held_out", "score"])
 
     return run
@@ -195,10 +246,11 @@ def _score_batches(shared):
 
 def classify(
     docs: DataFrame, labels: DataFrame, *, modulus: int = 5, held: int = 0, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    sample_rows: int = 6000, sample_chars: int = 3000, buckets: int = 1 << 15, width: int = 32, hidden: int = 24, steps: int = 900,
+    sample_rows: int = 6000, buckets: int = 1 << 15, width: int = 32, hidden: int = 24, steps: int = 900,
 ) -> DataFrame:
     """Per row: id, ``held_out``, ``score`` (probability of label 1), ``predicted``."""
-    model = train(docs, labels, modulus=modulus, held=held, id_col=id_col, text_col=text_col, label_col=label_col, sample_rows=sample_rows, sample_chars=sample_chars, buckets=buckets, width=width, hidden=hidden, steps=steps)
+    rt.bounded_batches(docs.sparkSession)
+    model = train(docs, labels, modulus=modulus, held=held, id_col=id_col, text_col=text_col, label_col=label_col, sample_rows=sample_rows, buckets=buckets, width=width, hidden=hidden, steps=steps)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x width x 8 bytes
     src = docs.select(F.col(id_col).alias("id"), (rt.bucket_of(F.col(id_col), modulus) == held).alias("held_out"), F.col(text_col).alias("text"))
     out = src.mapInArrow(_score_batches(shared), f"id {dict(src.dtypes)['id']}, held_out boolean, score double")
