@@ -7,6 +7,7 @@ largest single text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
+def release() -> None:
+    """Give unused memory of Arrow and of the C library back to the system, where it can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not the GNU library
+        pass
+
+
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts one after another and the n+1 offsets; a null text counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -22,6 +22,10 @@ Base score.  Exact token counts may not be broadcast, since the vocabulary grows
 Documents are dealt into blocks once; each block sends its distinct tokens to the counts and gets
 its own dictionary back.  Tokens are identified by 64-bit hashes.
 
+Memory.  Texts are read in runs of about half a megabyte; a longer text is read in slices cut at
+white space, each led by the ``depth`` bytes before it, so its counts and score are those of the
+whole text.  Only a single word of more than a run is held whole.
+
 Edge cases.  Null text is empty: one token, the end.  Rows are scored one by one, repeated or not.
 A null id is hashed as the empty string.  With no training rows every distribution is uniform.
 """
@@ -67,17 +71,40 @@ def stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, off, tokens
 
 
-def _gram_keys(text: np.ndarray, off: np.ndarray, depth: int) -> list[np.ndarray]:
+def _streams(data: np.ndarray, offsets: np.ndarray, depth: int, limit: int = bo.PIECE_BYTES):
+    """Normalised streams of whole texts, or of slices of texts longer than ``limit``, run by run:
+    lower-cased bytes and offsets of the run, its stream and offsets, the text that each part is of,
+    and how many bytes at the front repeat the slice before (at most ``depth``, context only)."""
+    cuts, owner = bo.sliced(data, offsets, limit)
+    carry = np.zeros(0, np.uint8)
+    for i, j in bo.pieces(cuts, limit):
+        part, off = bo.LOWER[data[cuts[i] : cuts[j]]], cuts[i : j + 1] - cuts[i]
+        text, own, _ = stream(part, off)
+        if not (i and owner[i - 1] == owner[i]):
+            carry = carry[:0]
+        skip = len(carry)
+        text, own = np.concatenate((carry, text)), own + skip
+        own[0] = 0
+        if j < len(owner) and owner[j] == owner[j - 1]:  # the text goes on: no END yet
+            text = text[:-1]
+            own[-1] -= 1
+            carry = text[max(int(own[-2]), len(text) - depth) :]
+        yield part, off, text, own, owner[i:j], skip
+
+
+def _gram_keys(text: np.ndarray, off: np.ndarray, depth: int, skip: int = 0) -> list[np.ndarray]:
     """Keys of the (d+1)-grams, d = 0..depth, that have exactly the longest context their place
-    allows.  The newest byte is lowest; a context never reaches beyond the END before its text."""
+    allows.  The newest byte is lowest; a context never reaches beyond the END before its text.
+    The first ``skip`` bytes are context only."""
     line = np.concatenate((np.array([END], np.uint8), text)).astype(np.uint64)  # END before the first text
     place = np.arange(len(text), dtype=np.int32) - np.repeat(off[:-1].astype(np.int32), np.diff(off))  # 0 for the first symbol of a text
     room = np.minimum(place + 1, depth).astype(np.uint8)
+    room[:skip] = 255
     key = np.zeros(len(text), np.uint64)
     grams = []
     for k in range(depth + 1):
         if k:
-            key[k - 1 :] |= line[: len(line) - k][: len(text) - k + 1] << U64(8 * k)
+            key[k - 1 :] |= line[: max(0, len(line) - k)] << U64(8 * k)
         else:
             key |= line[1:]
         grams.append(key[room == k].copy() if k < depth else key[room == depth])
@@ -96,63 +123,73 @@ def _unique(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
 
 
 class _Counter:
-    """Counts of 64-bit keys by kind, merged in bounded steps."""
-
-    def __init__(self):
-        self.parts: dict[int, list] = {}
-        self.held = 0
-
-    def add(self, kind: int, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
-        keys, counts = _unique(keys, counts)
-        self.parts.setdefault(kind, []).append((keys, counts))
-        self.held += len(keys)
-
-    def squeeze(self) -> None:
-        for kind, parts in self.parts.items():
-            if len(parts) > 1:
-                self.parts[kind] = [_unique(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))]
-        self.held = sum(len(p[0][0]) for p in self.parts.values())
-
-    def flush(self):
-        self.squeeze()
-        for kind, parts in sorted(self.parts.items()):
-            keys, counts = parts[0]
-            for i in range(0, len(keys), 1 << 18):
-                k = keys[i : i + (1 << 18)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)), pa.array(counts[i : i + (1 << 18)].astype(np.int64))], names=["kind", "key", "n"]
-                )
-        self.parts, self.held = {}, 0
-
-
-def _count_batches(depth: int, limit: int = 3_000_000):
-    """Kind 0: tokens.  Kind d+1: grams with d bytes of context.  Only rows outside the fold."""
+    """Counts of 64-bit keys, merged whenever ``limit`` unmerged keys are held."""
+
+    def __init__(self, limit: int):
+        self.limit, self.parts, self.held = limit, [], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> bool:
+        """Whether the counter is still nearly full after merging, so that it must be taken."""
+        self.parts.append(_unique(keys, counts))
+        self.held += len(self.parts[-1][0])
+        if self.held <= self.limit:
+            return False
+        self.parts = [self.take()]
+        self.held = len(self.parts[0][0])
+        return self.held > self.limit * 7 // 10
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        parts, self.parts, self.held = self.parts, [], 0
+        if len(parts) == 1:
+            return parts[0]
+        keys = np.concatenate([np.zeros(0, np.uint64), *[k for k, _ in parts]])
+        counts = np.concatenate([np.zeros(0, np.int64), *[c for _, c in parts]])
+        del parts
+        return _unique(keys, counts)
+
+
+def _emitted(kind: int, keys: np.ndarray, counts: np.ndarray):
+    for i in range(0, len(keys), 1 << 17):
+        k = keys[i : i + (1 << 17)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)), pa.array(counts[i : i + (1 << 17)].astype(np.int64))], names=["kind", "key", "n"]
+        )
+
+
+def _count_batches(depth: int, limit: int = 1_500_000):
+    """Kind 0: tokens.  Kind d+1: grams with d bytes of context.  Only rows outside the fold.
+
+    Only the deepest grams and those at the start of a text are held; the shorter ones follow from
+    them when the counter is emptied."""
 
     def run(batches):
-        counter = _Counter()
+        words, deep = _Counter(limit // 4), _Counter(limit)
+        starts_of = [_Counter(limit // 16) for _ in range(depth)]
+
+        def flush():
+            keys, counts = deep.take()
+            yield from _emitted(depth + 1, keys, counts)
+            for d in range(depth - 1, -1, -1):
+                own_keys, own_counts = starts_of[d].take()
+                keys = keys & U64((1 << (8 * d + 8)) - 1)
+                keys, counts = _unique(np.concatenate((keys, own_keys)), np.concatenate((counts, own_counts)))
+                yield from _emitted(d + 1, keys, counts)
+
         for batch in batches:
             batch = batch.filter(pa.compute.invert(batch.column(1)))
             data, offsets = bo.text_buffers(batch.column(0))
-            for i, j in bo.pieces(offsets, 1 << 20):
-                part, off = bo.LOWER[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i]
-                for a, b in bo.pieces(off):
-                    piece, own = part[off[a] : off[b]], off[a : b + 1] - off[a]
-                    starts, ends, _ = bo.word_spans(piece, own)
-                    counter.add(0, bo.word_hashes(piece, starts, ends))
-                grams = _gram_keys(*stream(part, off)[:2], depth)
-                keys, counts = _unique(grams[depth])
-                for d in range(depth, -1, -1):
-                    if d < depth:
-                        own_keys, own_counts = _unique(grams[d])
-                        keys, counts = _unique(np.concatenate((keys & U64((1 << (8 * d + 8)) - 1), own_keys)), np.concatenate((counts, own_counts)))
-                    counter.parts.setdefault(d + 1, []).append((keys, counts))
-                    counter.held += len(keys)
-                if counter.held > limit:
-                    counter.squeeze()
-                    if counter.held > limit // 2:
-                        yield from counter.flush()
-        yield from counter.flush()
-        pa.default_memory_pool().release_unused()  # the worker stays and other stages need the room
+            for part, off, text, own, _, skip in _streams(data, offsets, depth):
+                starts, ends, _ = bo.word_spans(part, off)
+                if words.add(bo.word_hashes(part, starts, ends)):
+                    yield from _emitted(0, *words.take())
+                full = False
+                for d, keys in enumerate(_gram_keys(text, own, depth, skip)):
+                    full |= (deep if d == depth else starts_of[d]).add(keys)
+                if full:
+                    yield from flush()
+        yield from _emitted(0, *words.take())
+        yield from flush()
+        bo.release()  # the worker stays and other stages need the room
 
     return run
 
@@ -163,7 +200,7 @@ class Tree:
     def __init__(self, code: np.ndarray, step: np.ndarray, logp: np.ndarray, depth: int, contexts: int):
         self.code, self.step, self.logp, self.depth, self.contexts = code, step, logp, depth, contexts
 
-    def score(self, text: np.ndarray, lanes: int = 8192) -> np.ndarray:
+    def score(self, text: np.ndarray, lanes: int = 4096) -> np.ndarray:
         """log10 probability of every byte of a normalised stream that starts after an END."""
         n = len(text)
         if not n:
@@ -275,11 +312,12 @@ def _distinct_batches(batches):
         blocks = batch.column(0).to_numpy(zero_copy_only=False)
         data, offsets = bo.text_buffers(batch.column(2))
         seen: dict[int, list] = {}
-        for i, j in bo.pieces(offsets):
-            part, off = bo.LOWER[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i]
+        cuts, owner = bo.sliced(data, offsets)
+        for i, j in bo.pieces(cuts):
+            part, off = bo.LOWER[data[cuts[i] : cuts[j]]], cuts[i : j + 1] - cuts[i]
             starts, ends, first = bo.word_spans(part, off)
             h = bo.word_hashes(part, starts, ends)
-            of = np.repeat(blocks[i:j], np.diff(first))
+            of = np.repeat(blocks[owner[i:j]], np.diff(first))
             for block in np.unique(of):
                 seen.setdefault(int(block), []).append(_unique(h[of == block])[0])
         for block, keys in seen.items():
@@ -301,8 +339,7 @@ def _score_block(tree, total: int, distinct: int, ends: int):
         data, offsets = bo.text_buffers(texts.column("text"))
         tokens, known = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         base, score = np.zeros(len(texts)), np.zeros(len(texts))
-        for i, j in bo.pieces(offsets, 2 << 20):
-            part, off = bo.LOWER[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i]
+        for part, off, text, own, of, skip in _streams(data, offsets, model.depth):
             starts, stops, first = bo.word_spans(part, off)
             h = bo.word_hashes(part, starts, stops)
             at = np.searchsorted(vocab, h)
@@ -310,11 +347,16 @@ def _score_block(tree, total: int, distinct: int, ends: int):
             c = np.where(vocab[at] == h, n[at], 0) if len(vocab) else np.zeros(len(h), np.int64)
             sums = np.concatenate(([0.0], np.cumsum(np.log10(c + 1.0))))
             hits = np.concatenate(([0], np.cumsum(c > 0)))
-            tokens[i:j] = np.diff(first) + 1
-            known[i:j] = hits[first[1:]] - hits[first[:-1]] + (ends > 0)
-            base[i:j] = sums[first[1:]] - sums[first[:-1]] + math.log10(ends + 1) - tokens[i:j] * unit
-            text, own, _ = stream(part, off)
-            score[i:j] = np.add.reduceat(model.score(text), own[:-1])
+            np.add.at(tokens, of, np.diff(first))
+            np.add.at(known, of, hits[first[1:]] - hits[first[:-1]])
+            np.add.at(base, of, sums[first[1:]] - sums[first[:-1]])
+            logs = model.score(text)
+            logs[:skip] = 0
+            sums = np.concatenate(([0.0], np.cumsum(logs)))
+            np.add.at(score, of, sums[own[1:]] - sums[own[:-1]])
+        tokens += 1
+        known += ends > 0
+        base += math.log10(ends + 1) - tokens * unit
         return pa.table(
             {"id": texts.column("id"), "held_out": texts.column("held_out"), "n_tokens": tokens, "n_known": known, "base_score": base, "score": score}
         )
