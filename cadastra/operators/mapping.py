@@ -6,9 +6,10 @@ import json
 from collections.abc import Callable
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cadastra import schemas
 from cadastra.functions.text import let, strip
@@ -158,18 +159,21 @@ def map_columns(tables: DataFrame, transport: Callable[[str], str] | None = None
     if transport is None:
         return done
 
-    @F.pandas_udf("string")
-    def ask(prompts: pd.Series) -> pd.Series:
-        out = []
-        for p in prompts:
-            try:
-                out.append(None if p is None else transport(p))
-            except Exception:
-                out.append(None)
-        return pd.Series(out, dtype=object)
-
+    def answers(batches):
+        for batch in batches:
+            said = []
+            for p in batch.column(batch.num_columns - 1).to_pylist():
+                try:
+                    said.append(None if p is None else transport(p))
+                except Exception:
+                    said.append(None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(said, pa.string())], names=[*batch.schema.names[:-1], "_answer"])
+
+    # a step of its own, not a column expression: the answer is read many times below
     samples = sample_rows(F.col("rows"))
-    asked = done.withColumn("_answer", ask(F.when(~F.col("mapped.is_39a"), prompt(F.col("header"), samples, F.col("variant_hint")))))
+    question = F.when(~F.col("mapped.is_39a"), prompt(F.col("header"), samples, F.col("variant_hint")))
+    schema = StructType([*done.schema.fields, StructField("_answer", StringType())])
+    asked = done.withColumn("_prompt", question).mapInArrow(answers, schema)
     return asked.withColumn("mapped", F.coalesce(check_answer(F.col("_answer"), F.size("header"), samples), "mapped")).drop("_answer")
 
 
