@@ -46,7 +46,6 @@ class EngineConfig:
     scanned_below_chars: int = 50
     running_text_max: int = 80
     header_ratio: float = 0.8
-    max_survey_range: int = 100_000
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None) -> EngineConfig:

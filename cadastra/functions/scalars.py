@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra import schemas
@@ -44,39 +44,67 @@ def split_place(value: Column) -> Column:
     return let(F.filter(F.transform(F.split(value, ","), strip), lambda p: p != ""), named)
 
 
+# Forms of survey numbers.
 _RANGE = r"(?i)(\d+)/(\d+)\s+to\s+(\d+)(?:\s*\((P|Part)\))?"
 _SINGLE = r"(?i)^(\d+)/(\d+(?:-[A-Za-z0-9]+)?)(?:\s*\((P|Part)\))?"
 _PLOT = r"(?i)Plot\s+No\.?\s*([A-Za-z0-9\-]+)"
+_SPAN = "struct<prefix:string,lo:decimal(38,0),hi:decimal(38,0),number:string,is_part:boolean>"
 
 
-def survey_entries(raw: Column, longest: int = 100_000) -> Column:
-    """Survey numbers as an array of ``survey_number`` and ``is_part``: ranges first, then single
-    tokens; the first mention of a number wins.  A range counts up only and yields at most
-    ``longest`` numbers."""
+def survey_spans(raw: Column) -> Column:
+    """Survey numbers as an array of spans in order of mention: ranges first (``prefix``, ``lo``,
+    ``hi``; a range counts up only), then single tokens (``number``).  A range stays two numbers here,
+    however long it is.  Bounds of more than 38 digits give no span."""
     text = F.replace(F.coalesce(raw, F.lit("")), F.lit("\n"), F.lit(" "))
     group = [F.regexp_extract_all(text, F.lit(_RANGE), g) for g in (1, 2, 3, 4)]
-    empty = F.array().cast("array<struct<survey_number:string,is_part:boolean>>")
+    none = F.lit(None).cast("decimal(38,0)")
 
     def span(x: Column) -> Column:
-        lo, hi = x["1"].try_cast("bigint"), x["2"].try_cast("bigint")
-        steps = F.sequence(lo, F.least(hi, lo + longest - 1))
-        numbers = F.transform(steps, lambda n: F.struct(F.concat(x["0"], F.lit("/"), n.cast("string")).alias("survey_number"), (x["3"] != "").alias("is_part")))
-        return F.when(lo <= hi, numbers).otherwise(empty)
+        return F.struct(
+            x["0"].alias("prefix"), x["1"].try_cast("decimal(38,0)").alias("lo"), x["2"].try_cast("decimal(38,0)").alias("hi"),
+            F.lit(None).cast("string").alias("number"), (x["3"] != "").alias("is_part"),
+        )
 
-    ranges = F.flatten(F.transform(F.arrays_zip(*group), span))
+    ranges = F.filter(F.transform(F.arrays_zip(*group), span), lambda s: s["lo"] <= s["hi"])
     tokens = F.transform(F.split(F.regexp_replace(text, _RANGE, ""), ","), lambda t: squash(strip(t)))
 
     def single(t: Column) -> Column:
         number = F.concat(F.regexp_extract(t, _SINGLE, 1), F.lit("/"), F.regexp_extract(t, _SINGLE, 2))
-        one = F.struct(number.alias("survey_number"), (F.regexp_extract(t, _SINGLE, 3) != "").alias("is_part"))
-        plot = F.struct(F.concat(F.lit("Plot No. "), F.regexp_extract(t, _PLOT, 1)).alias("survey_number"), F.lit(False).alias("is_part"))
-        return F.when(t.rlike(_SINGLE), one).when(t.rlike(_PLOT), plot)
+        plot = F.concat(F.lit("Plot No. "), F.regexp_extract(t, _PLOT, 1))
+        one = lambda n, part: F.struct(F.lit(None).cast("string").alias("prefix"), none.alias("lo"), none.alias("hi"), n.alias("number"), part.alias("is_part"))
+        return F.when(t.rlike(_SINGLE), one(number, F.regexp_extract(t, _SINGLE, 3) != "")).when(t.rlike(_PLOT), one(plot, F.lit(False)))
 
     singles = F.filter(F.transform(F.filter(tokens, lambda t: ~t.isin("", "(P)", "(Part)")), single), lambda e: e.isNotNull())
-    # the first of each number: the position of a number is that of its first mention
-    names = lambda every: F.transform(every, lambda e: e["survey_number"])
-    firsts = lambda every, of: F.transform(F.array_distinct(of), lambda n: F.get(every, (F.array_position(of, n) - 1).cast("int")))
-    return F.when(raw.isNull(), empty).otherwise(let(F.concat(ranges, singles), lambda every: let(names(every), lambda of: firsts(every, of))))
+    return F.when(raw.isNull(), F.array().cast(f"array<{_SPAN}>")).otherwise(F.concat(ranges, singles))
+
+
+#: Numbers of a range that one row carries before they are listed one by one.
+RANGE_BLOCK = 4096
+
+
+def explode_surveys(df: DataFrame, raw: Column) -> DataFrame:
+    """One row per survey number of each row: the columns of ``df`` with ``survey_number`` and
+    ``is_part``; the first mention of a number wins.  Ranges of any length are listed in blocks, so no
+    row holds all numbers of one."""
+    own = [F.col(f"`{c}`") for c in df.columns]
+    spans = df.select(*own, survey_spans(raw).alias("_spans"))
+    each = spans.select(*own, "_spans", F.posexplode("_spans").alias("_at", "_s"))
+    before = F.slice("_spans", 1, F.col("_at"))
+    s = F.col("_s")
+    # of the spans before, only those that could hold one of this span's numbers
+    key = F.coalesce(s["prefix"], F.substring_index(s["number"], "/", 1))
+    rivals = F.filter(before, lambda b: (b["number"] == s["number"]) | (b["prefix"] == key))
+    last = F.coalesce((s["hi"] - s["lo"]).try_cast("bigint"), F.lit(0))
+    each = each.select(*own, "_s", rivals.alias("_rivals"), last.alias("_last"))
+    blocks = each.select(*own, "_s", "_rivals", "_last", F.explode(F.expr(f"sequence(0L, _last div {RANGE_BLOCK}L)")).alias("_block"))
+    first = F.col("_block") * RANGE_BLOCK
+    listed = blocks.select(*own, "_s", "_rivals", F.explode(F.sequence(first, F.least(first + (RANGE_BLOCK - 1), F.col("_last")))).alias("_k"))
+    number = F.coalesce(s["number"], F.concat(s["prefix"], F.lit("/"), (s["lo"] + F.col("_k")).cast("decimal(38,0)").cast("string")))
+    named = listed.select(*own, number.alias("survey_number"), s["is_part"].alias("is_part"), "_rivals")
+    tail = F.substring_index("survey_number", "/", -1)
+    value = F.when(tail.rlike(r"^(0|[1-9]\d*)$"), tail.try_cast("decimal(38,0)"))
+    said = F.exists("_rivals", lambda b: F.coalesce((b["number"] == F.col("survey_number")) | value.between(b["lo"], b["hi"]), F.lit(False)))
+    return named.where(~said).drop("_rivals")
 
 
 def validation_sr(sr_no: Column) -> Column:

@@ -53,11 +53,11 @@ def application_rows(records: DataFrame) -> DataFrame:
     )
 
 
-def plots(rows: DataFrame, longest_range: int = 100_000) -> DataFrame:
+def plots(rows: DataFrame) -> DataFrame:
     """One row per survey number of each application row."""
-    each = rows.select("gazette_id", "notification_no", "sr_no", "village", "taluka", F.explode(sc.survey_entries(F.col("survey_raw"), longest_range)).alias("e"))
-    key = sc.plot_hash(F.col("gazette_id"), F.col("notification_no"), F.col("sr_no"), F.col("e.survey_number"))
-    return each.withColumns({"survey_number": F.col("e.survey_number"), "is_part": F.col("e.is_part"), "row_hash": key}).select(*schemas.PLOT_COLUMNS)
+    each = sc.explode_surveys(rows.select("gazette_id", "notification_no", "sr_no", "village", "taluka", F.col("survey_raw").alias("_raw")), F.col("_raw"))
+    key = sc.plot_hash(F.col("gazette_id"), F.col("notification_no"), F.col("sr_no"), F.col("survey_number"))
+    return each.withColumn("row_hash", key).select(*schemas.PLOT_COLUMNS)
 
 
 def row_issues(rows: DataFrame) -> DataFrame:

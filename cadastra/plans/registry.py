@@ -183,8 +183,7 @@ FROM (SELECT p_partkey, unnest(generate_series(10, CAST(p_size AS BIGINT))) AS n
 def survey_explode(spark, sf_dir):
     part = F.when(F.col("p_partkey") % 3 == 0, " (P)").otherwise("")
     raw = F.concat(F.col("p_partkey").cast("string"), F.lit("/10 to "), F.col("p_size").cast("string"), part)
-    entries = _t(spark, sf_dir, "part").select("p_partkey", F.explode(sc.survey_entries(raw)).alias("e"))
-    return entries.select("p_partkey", "e.survey_number", "e.is_part")
+    return sc.explode_surveys(_t(spark, sf_dir, "part").select("p_partkey", raw.alias("raw")), F.col("raw")).drop("raw")
 
 
 @query("""WITH t AS (SELECT p_partkey, p_size, ['7/' || CAST(p_size AS VARCHAR) || '-A (Part)', '256/2', 'Plot No. ' || CAST(p_partkey AS VARCHAR), '7/' || CAST(p_size AS VARCHAR) || '-A'] AS l FROM part)
@@ -193,8 +192,7 @@ SELECT p_partkey, survey_number, is_part FROM (
   UNION ALL SELECT p_partkey, '256/2', FALSE FROM t UNION ALL SELECT p_partkey, 'Plot No. ' || CAST(p_partkey AS VARCHAR), FALSE FROM t)""")
 def survey_singles(spark, sf_dir):
     raw = F.concat(F.lit("7/"), F.col("p_size").cast("string"), F.lit("-A (Part), 256/2, (P), pt, Plot No. "), F.col("p_partkey").cast("string"), F.lit(",\n7/"), F.col("p_size").cast("string"), F.lit("-A"))
-    entries = _t(spark, sf_dir, "part").select("p_partkey", F.explode(sc.survey_entries(raw)).alias("e"))
-    return entries.select("p_partkey", "e.survey_number", "e.is_part")
+    return sc.explode_surveys(_t(spark, sf_dir, "part").select("p_partkey", raw.alias("raw")), F.col("raw")).drop("raw")
 
 
 @query("""SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS plain, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey ELSE NULL END AS total,

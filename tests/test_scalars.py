@@ -52,13 +52,20 @@ def test_known_taluka(spark):
     ],
 )
 def test_survey(spark, raw, want):
-    got = values(spark, sc.survey_entries, [raw])[0]
+    got = sc.explode_surveys(spark.createDataFrame([(raw,)], "raw string"), F.col("raw")).collect()
     assert [(e.survey_number, e.is_part) for e in got] == want
 
 
-def test_survey_range_limit(spark):
-    got = values(spark, lambda c: sc.survey_entries(c, 5), ["1/1 to 99"])[0]
-    assert len(got) == 5
+def test_survey_ranges_are_whole(spark):
+    raws = [(0, "1/1 to 250000, 1/7, 1/07, 2/9"), (1, "3/5 to 9, 3/8 to 12 (P), 3/10, 4/10, 3/13"), (2, "1/" + "9" * 25 + " to 1" + "0" * 25), (3, "7/1 to " + "9" * 40)]
+    got = sc.explode_surveys(spark.createDataFrame(raws, "i int, raw string"), F.col("raw"))
+    first = got.where("i = 0")
+    assert first.count() == first.select("survey_number").distinct().count() == 250_002
+    assert first.where("survey_number in ('1/250000', '1/07', '2/9')").count() == 3
+    rows = {i: {(r.survey_number, r.is_part) for r in got.where(F.col("i") == i).collect()} for i in (1, 2, 3)}
+    assert rows[1] == {(f"3/{n}", n > 9) for n in range(5, 13)} | {("4/10", False), ("3/13", False)}
+    assert rows[2] == {("1/" + "9" * 25, False), ("1/1" + "0" * 25, False)}
+    assert rows[3] == set()
 
 
 def test_hashes(spark):
