@@ -53,15 +53,16 @@ def number_records(rows: DataFrame, keys: tuple[str, ...] = TABLE) -> DataFrame:
     return done.drop("_sr", "_first", "_content", "_filled", "_pos", "_anchor", "_lo", "_hi", "_by", "_clash", "_above")
 
 
-def fold_records(numbered: DataFrame, keys: tuple[str, ...] = TABLE) -> DataFrame:
-    """One row per record: ``cells`` joined column by column, blanks left out, in row order."""
+def fold_records(numbered: DataFrame, keys: tuple[str, ...] = TABLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per record: ``cells`` joined column by column, blanks left out, in row order.
+    ``carry`` names columns that are equal in all rows of a table; they go with its records."""
     grouped = numbered.groupBy(*keys, "record_id").agg(
-        F.array_sort(F.collect_list(F.struct("row_idx", "cells"))).alias("parts"), F.max("disputed").alias("disputed")
+        F.array_sort(F.collect_list(F.struct("row_idx", "cells"))).alias("parts"), F.max("disputed").alias("disputed"), *[F.first(c).alias(c) for c in carry]
     )
     width = F.array_max(F.transform("parts", lambda p: F.size(p["cells"])))
     column = lambda i: F.array_join(F.filter(F.transform("parts", lambda p: ce.cell(p["cells"], i)), lambda c: c != ""), " ")
     cells = F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), column)).otherwise(F.array().cast("array<string>"))
-    return grouped.select(*keys, "record_id", cells.alias("cells"), "disputed")
+    return grouped.select(*keys, "record_id", cells.alias("cells"), "disputed", *carry)
 
 
 def apply_column_map(cells: Column, column_map: Column, fields: tuple[str, ...]) -> Column:

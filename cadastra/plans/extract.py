@@ -14,20 +14,23 @@ from cadastra.operators import mapping, merge, records, spans, tables
 def extract_rows(meta: DataFrame, pages: DataFrame, raw_tables: DataFrame, cfg: EngineConfig = EngineConfig(), transport=None) -> DataFrame:
     """Application rows of all gazettes.  Every key begins with ``gazette_id``: gazettes never mix."""
     found = spans.find_spans(pages, raw_tables, cfg)
-    stitched = tables.split_header(tables.stitch(spans.tables_in_spans(raw_tables, found), cfg)).where(F.size("rows") > 0)
-    mapped = mapping.map_columns(stitched, transport).where("mapped.is_39a")
+    stitched = tables.split_header(tables.stitch(spans.tables_in_spans(raw_tables, found), cfg))
+    mapped = mapping.map_columns(stitched, transport)
     names = meta.select("gazette_id", "source_filename")
     keys = ["gazette_id", "span_id", "table_seq"]
-    described = mapped.select(*keys, "notification_no", "page_start", "page_end", "suspect_sr", "header", "rows", "mapped.column_map", "mapped.variant", "mapped.confidence")
-    rows = described.select(
-        *keys,
-        F.col("column_map.sr_no").alias("sr_col"),
-        F.col("column_map.survey").alias("survey_col"),
-        F.col("column_map.village_taluka").alias("place_col"),
-        F.posexplode("rows").alias("row_idx", "cells"),
-    ).where(~ce.is_marker_row(F.col("cells")))
-    merged = merge.fold_records(merge.number_records(rows))
-    back = merged.join(described.drop("rows"), keys).where(~ce.is_marker_row(F.col("cells")))
+    table = ["notification_no", "page_start", "page_end", "suspect_sr", "header", "column_map", "variant", "confidence"]
+    # tables that are none of ours lose their rows here: a filter on the verdict or on the rows would
+    # be pushed below the projections and compute stitching and mapping once more
+    wanted = F.when(F.col("mapped.is_39a"), F.col("rows"))
+    described = mapped.select(
+        *keys, "notification_no", "page_start", "page_end", "suspect_sr", "header", "mapped.column_map", "mapped.variant", "mapped.confidence",
+        F.posexplode_outer(wanted).alias("row_idx", "cells"),
+    )
+    rows = described.where(F.col("cells").isNotNull() & ~ce.is_marker_row(F.col("cells"))).withColumns(
+        {"sr_col": F.col("column_map.sr_no"), "survey_col": F.col("column_map.survey"), "place_col": F.col("column_map.village_taluka")}
+    )
+    merged = merge.fold_records(merge.number_records(rows), carry=tuple(table))
+    back = merged.where(~ce.is_marker_row(F.col("cells")))
     raw = back.withColumns(
         {
             "raw": merge.apply_column_map(F.col("cells"), F.col("column_map"), schemas.FIELDS),
@@ -41,4 +44,4 @@ def extract(meta: DataFrame, pages: DataFrame, raw_tables: DataFrame, cfg: Engin
     """``rows`` (all), ``good``, ``issues`` and ``plots`` (of good rows)."""
     rows = extract_rows(meta, pages, raw_tables, cfg, transport)
     good, issues = records.validate(rows)
-    return {"rows": rows, "good": good, "issues": issues, "plots": records.plots(good, cfg.max_survey_range)}
+    return {"rows": rows, "good": good, "issues": issues, "plots": records.plots(good)}
