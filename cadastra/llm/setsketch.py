@@ -52,6 +52,10 @@ class Params:
         self.shingle, self.percent, self.bands, self.rows, self.base, self.rate, self.block = shingle, percent, bands, rows, base, rate, block
         rng = np.random.Generator(np.random.PCG64(77))
         self.m = bands * rows
+        # equal registers are at least as likely as the similarity: five standard errors below it,
+        # and never more than half of the registers, a pair is not worth an estimate
+        goal = percent / 100
+        self.least_equal = self.m * min(0.5, goal - 5 * (goal * (1 - goal) / self.m) ** 0.5)
         self.flip = rng.integers(0, 1 << 32, self.m, dtype=np.uint32)
         self.times = rng.integers(0, 1 << 32, self.m, dtype=np.uint32) | np.uint32(1)
         self.band_seed = rng.integers(1, 1 << 63, (bands, rows), dtype=np.uint64)
@@ -255,7 +259,7 @@ def _meet_batches(p: Params):
         for r, near in _facing(tab, p, n):
             same = regs[near] == regs[r]
             first = same.reshape(-1, p.bands, p.rows).all(2).argmax(1)
-            near = near[(same.sum(1) >= 0.5 * p.m) & own[r, first]]
+            near = near[(same.sum(1) >= p.least_equal) & own[r, first]]
             if len(near):
                 ok = near[plausible(p, regs[near], np.broadcast_to(regs[r], (len(near), p.m)), n[near], np.full(len(near), n[r]))]
                 keep[ok] = True

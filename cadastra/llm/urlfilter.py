@@ -12,7 +12,10 @@ allows it to be broadcast.  A longer list only lets more candidates through to t
 
 Scale.  Only the URL column is read.  Definite misses never shuffle; possible hits are joined with
 the list by canonical URL (Spark splits a hot key's partition, since no aggregate needs it whole).
-Up to ``literal_rules`` rules are compiled into one expression; more are joined by host suffix.
+Up to ``literal_rules`` rules are compiled into one expression; more are joined by host suffix, with
+the same result.
+
+Ties.  Of rules of equal length the one first in order of host, path and verdict decides.
 
 Edge cases.  A null URL, or one without ``://``, has an empty host and path, fits no rule and is
 never listed: allow.  Repeated rows are judged one by one.
@@ -52,9 +55,14 @@ def canonical(url: Column) -> Column:
     return F.when(host != "", F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")))
 
 
+def _precedence(rule: tuple[str, str, str]) -> tuple:
+    """Longest first; ties by the bytes of host, path and verdict, as Spark orders strings."""
+    return -len(rule[0] + rule[1]), *[part.encode() for part in rule]
+
+
 def _literal_rule(host: Column, path: Column, rules) -> Column:
     out = None
-    for h, p, verdict in sorted(rules, key=lambda r: (-len(r[0] + r[1]), r)):
+    for h, p, verdict in sorted(rules, key=_precedence):
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         hit = F.struct(F.lit(h + p).alias("rule"), F.lit(verdict).alias("verdict"))
         out = F.when(fits, hit) if out is None else out.when(fits, hit)
@@ -70,7 +78,7 @@ def _joined_rule(urls: DataFrame, rules) -> DataFrame:
         .join(table, "rhost")
         .where(F.col("path").startswith(F.col("rpath")))
         .groupBy("rid")
-        .agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "rule")).alias("hit"))
+        .agg(F.min_by(F.struct("rule", "verdict"), F.struct(-F.length("rule"), "rhost", "rpath", "verdict")).alias("hit"))
     )
     return urls.join(fits, "rid", "left")
 
