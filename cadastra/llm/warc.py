@@ -14,6 +14,10 @@ fragments (rare, small) meet by file in a second step.  Nothing reads a file as
 Equal payloads are found by SHA-1 with map-side combined ``max(page_id)``: a hot payload is one row
 per task.  Only payloads that occur more than once enter the join.
 
+Damage.  A member that breaks off or does not decode gives no record; the whole members after it do.
+Known limit: a whole WARC member that stands uncompressed inside another one is read as a record, and
+the outer one lost, where a split falls between their starts.
+
 Edge cases.  Null html: an empty payload.  Null ids are written as empty and read back as null.
 Repeated rows of the winning id are all responses.  A hot payload's revisits carry no payload.
 Archive files must not end in ``.gz``, since Hadoop's text reader would decode them as one stream.
@@ -115,30 +119,68 @@ def write_warc(
 
 
 class _Members:
-    """Puts the pieces between magic bytes together to members.  Pieces come in file order."""
+    """Puts the pieces between magic bytes together to members.  Pieces come in file order.
+
+    While a member is open, a second instance (``later``) reads the pieces after its start as if they
+    began members of their own.  If the open member ends well those were parts of it; if it breaks,
+    it is damaged, and what ``later`` found stands."""
 
     def __init__(self):
-        self.open: bytes | None = None  # a member that began here and has not ended yet
-        self.head: list[bytes] = []  # pieces before the first member that begins here
-
-    def add(self, piece: bytes) -> bytes | None:
-        """The content of a member that ends with this piece, if one does."""
-        started = self.open is not None
-        raw = self.open + MAGIC + piece if started else MAGIC + piece
-        z = zlib.decompressobj(31)
+        self.head: list[bytes] = []  # pieces that begin no whole member
+        self._close()
+
+    def _close(self) -> None:
+        self.raw: list[bytes] = []  # of a member that began here and has not ended yet
+        self.content: list[bytes] = []
+        self.inflate = self.later = None
+        self.found: list[bytes] = []
+
+    @property
+    def open(self) -> bytes | None:
+        return MAGIC + MAGIC.join(self.raw) if self.raw else None
+
+    def add(self, piece: bytes) -> list[bytes]:
+        """The contents of the members that end with this piece, or that it proves to be whole."""
+        began = not self.raw
+        if began:
+            self.inflate = zlib.decompressobj(31)
+        else:
+            self.found += self.later.add(piece)
         try:
-            content = z.decompress(raw)
+            self.content.append(self.inflate.decompress(MAGIC + piece))
+            start = b"".join(self.content[:2])[:5] if len(self.content[0]) < 5 else self.content[0][:5]
+            whole = self.inflate.eof
+            broken = start != b"WARC/" and (start != b"" if whole else not b"WARC/".startswith(start))
         except zlib.error:
-            content = None
-        valid = content is not None and (content[:5] == b"WARC/" or z.eof and not content or not z.eof and len(content) < 5)
-        if valid and z.eof:
-            self.open = None
-            return content
-        if valid or started:
-            self.open = raw
-        else:
-            self.head.append(piece)
-        return None
+            whole, broken = False, True
+        if broken:
+            if began:
+                self.head.append(piece)
+                self._close()
+                return []
+            return self.give_up()
+        if whole:
+            content = b"".join(self.content)
+            self._close()
+            return [content]
+        if began:
+            self.later = _Members()
+        self.raw.append(piece)
+        return []
+
+    def give_up(self) -> list[bytes]:
+        """Drop the open member as damaged; what began after it takes its place."""
+        found, later = self.found, self.later
+        self.head += [self.raw[0], *later.head]  # they may belong to a member of the range before
+        self.raw, self.content, self.inflate, self.later, self.found = later.raw, later.content, later.inflate, later.later, later.found
+        return found
+
+    def finish(self) -> list[bytes]:
+        """No piece follows: whatever is still open is damaged."""
+        out = []
+        while self.raw:
+            out += self.give_up()
+        return out
 
 
 def _read_batches(keep_payload: bool):
@@ -164,9 +206,10 @@ def _read_batches(keep_payload: bool):
                     key, members = (file, start), _Members()
                     if start == 0:  # what stands before a file's first magic: nothing
                         continue
-                content = members.add(value.as_py())
-                if content:
+                for content in members.add(value.as_py()):
                     parsed = row(content)
+                    if parsed is None:
+                        continue
                     if not keep_payload:
                         parsed["payload"] = None
                     rows.append(parsed)
@@ -189,13 +232,12 @@ def _rejoin(keep_payload: bool):
     """The fragments of one file: open ends meet the pieces at the head of the ranges after them."""
 
     def run(keys: tuple[pa.Scalar, ...], tab: pa.Table) -> pa.Table:
-        members, out = _Members(), []
+        members, whole = _Members(), []
         for x in sorted(tab.to_pylist(), key=lambda x: (x["start"], x["kind"], x["piece"])):
-            if x["kind"] == 2:
-                members = _Members()
-                members.open = x["raw"]
-            elif members.open is not None and (content := members.add(x["raw"])):
-                out.append(parse_record(content) | ({} if keep_payload else {"payload": None}))
+            for piece in x["raw"][len(MAGIC) :].split(MAGIC) if x["kind"] == 2 else [x["raw"]]:
+                whole += members.add(piece)
+        whole += members.finish()
+        out = [parse_record(content) | ({} if keep_payload else {"payload": None}) for content in whole if content]
         return pa.Table.from_pylist(out, schema=pa.schema(list(_ARROW)[5:]))
 
     return run

@@ -12,7 +12,7 @@ import pytest
 
 pytest.importorskip("cadastra.llm")
 from cadastra.llm import bytesops as bo  # noqa: E402
-from cadastra.llm import langid, setsketch, suffixtree, urlfilter  # noqa: E402
+from cadastra.llm import langid, setsketch, suffixtree, urlfilter, warc  # noqa: E402
 
 
 def odd_texts(rng: random.Random) -> list[str]:
@@ -150,3 +150,35 @@ def test_exact_join_removes_false_hits_of_the_filter(spark):
 def test_least_equal_registers_follow_the_threshold():
     assert setsketch.Params().least_equal == 50
     assert setsketch.Params(percent=40).least_equal < 20
+
+
+@pytest.mark.parametrize("sizes, nested", [((700, 5000, 100_000_000), False), ((100_000_000,), True)])
+def test_damaged_and_embedded_members(spark, tmp_path, sizes, nested):
+    """Magic bytes inside members at any split; whole members inside members (``nested``) in one
+    split only, since a split between the two is a known limit."""
+    rng = random.Random(12)
+    inner = warc.gzip_member(warc.warc_record(-1, "http://inside/", b"inner" * 9, None, "X"), 6) if nested else b""
+    file, want = [], []
+    for i in range(300):
+        payload = bytes(rng.choices(range(256), k=rng.randint(0, 900)))
+        if i % 5 == 1:
+            payload = inner + payload + warc.MAGIC + inner + payload
+        member = warc.gzip_member(warc.warc_record(i, f"http://h/{i}", payload, None, "D"), 0 if i % 2 else 6)
+        if i % 7 == 3:
+            member = member[: rng.randint(4, len(member) - 9)]  # broken off
+        elif i % 7 == 5:
+            at = rng.randint(len(member) // 2, len(member) - 9)
+            member = member[:at] + bytes([member[at] ^ 0x55]) + member[at + 1 :]  # fails its checksum at the latest
+        else:
+            want.append((i, payload))
+        file.append(member)
+    where = tmp_path / "x.warc"
+    where.write_bytes(b"".join(file))
+    own = spark.newSession()
+    for size in sizes:
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        own.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = [(r.page_id, bytes(r.payload)) for r in warc.read_warc(own, str(where)).collect()]
+        # a damaged member that held whole ones leaves those behind
+        assert sorted(x for x in got if x[0] != -1) == sorted(want), size
+        assert nested or not any(x[0] == -1 for x in got)
