@@ -5,9 +5,9 @@ and an end symbol.  The tree gives every byte a probability; the score is the lo
 the whole sequence of bytes, known tokens and unknown ones alike.  The base score has one type for
 all unknown tokens and does not spell them, so on texts with many of them it is the higher one.
 
-Training.  All documents outside the held-out fold are counted in one scan: n-grams of bytes up to
-``depth`` + 1 and whole tokens, both as 64-bit keys, combined per task before the shuffle.  Contexts
-come from one document only.  A context stays in the tree if it was seen often enough and the
+Training.  All documents outside the held-out fold are counted in one scan: n-grams of ``depth`` + 1
+bytes and whole tokens, both as 64-bit keys, combined per task before the shuffle; shorter n-grams
+are summed from the longer ones afterwards.  Contexts come from one document only.  A context stays in the tree if it was seen often enough and the
 divergence test holds: its count times the Kullback-Leibler divergence of its next-symbol
 distribution from that of its suffix is at least ``least_bits`` (or ``share`` of all symbols, if
 that is more).  ``share`` bounds the tree whatever the corpus: counts of the contexts of one length
@@ -32,6 +32,8 @@ A null id is hashed as the empty string.  With no training rows every distributi
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -157,23 +159,16 @@ def _emitted(kind: int, keys: np.ndarray, counts: np.ndarray):
 
 
 def _count_batches(depth: int, limit: int = 1_500_000):
-    """Kind 0: tokens.  Kind d+1: grams with d bytes of context.  Only rows outside the fold.
-
-    Only the deepest grams and those at the start of a text are held; the shorter ones follow from
-    them when the counter is emptied."""
+    """Kind 0: tokens.  Kind d+1: grams whose place in the text allows exactly d bytes of context,
+    that is the deepest ones and those at the start of a text.  Only rows outside the fold."""
 
     def run(batches):
         words, deep = _Counter(limit // 4), _Counter(limit)
         starts_of = [_Counter(limit // 16) for _ in range(depth)]
 
         def flush():
-            keys, counts = deep.take()
-            yield from _emitted(depth + 1, keys, counts)
-            for d in range(depth - 1, -1, -1):
-                own_keys, own_counts = starts_of[d].take()
-                keys = keys & U64((1 << (8 * d + 8)) - 1)
-                keys, counts = _unique(np.concatenate((keys, own_keys)), np.concatenate((counts, own_counts)))
-                yield from _emitted(d + 1, keys, counts)
+            for d, held in enumerate([*starts_of, deep]):
+                yield from _emitted(d + 1, *held.take())
 
         for batch in batches:
             batch = batch.filter(pa.compute.invert(batch.column(1)))
@@ -194,6 +189,21 @@ def _count_batches(depth: int, limit: int = 1_500_000):
     return run
 
 
+def all_orders(counted: DataFrame, depth: int) -> DataFrame:
+    """Counts of the grams of every order (kind d+1, key, n) from those of ``_count_batches``: a gram
+    with d bytes of context occurs as often as the grams one byte longer that end in it, and at the
+    start of a text.  Each order is derived from the summed one above it, so tasks ship only the deepest."""
+    level = counted.where(F.col("kind") == depth + 1).select("key", "n")
+    orders = [level]
+    for d in range(depth - 1, -1, -1):
+        shorter = level.select(F.col("key").bitwiseAND(F.lit((1 << (8 * d + 8)) - 1).cast("long")).alias("key"), "n")
+        starts = counted.where(F.col("kind") == d + 1).select("key", "n")
+        level = rt.materialize(shorter.unionByName(starts).groupBy("key").agg(F.sum("n").alias("n")), f"grams{d}")
+        orders.append(level)
+    tagged = [o.select(F.lit(depth + 1 - i).alias("kind"), "key", "n") for i, o in enumerate(orders)]
+    return reduce(DataFrame.unionByName, tagged)
+
+
 class Tree:
     """The automaton: ``step`` and ``logp`` by state and symbol code, ``code`` of each byte."""
 
@@ -290,19 +300,19 @@ def train(folded: DataFrame, *, depth: int = 6, least_bits: float = 30.0, share:
     counts = src.mapInArrow(_count_batches(depth), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     counts = rt.materialize(counts, "counts")
     words = counts.where("kind = 0").select("key", "n")
-    totals = {r.kind: (r.n, r.v) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
+    grams_of = all_orders(counts, depth)
+    w_n, w_v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = folded.where(~F.col("held_out")).count()
-    symbols = totals.get(1, (0, 0))[0]
+    symbols = grams_of.where("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     floor = max(20, int(share * symbols))
     context = F.shiftrightunsigned("key", 8)
-    deep = counts.where("kind > 1").withColumn("context", context)
+    deep = grams_of.where("kind > 1").withColumn("context", context)
     often = deep.groupBy("kind", "context").agg(F.sum("n").alias("all")).where(F.col("all") >= floor).select("kind", "context")
-    frequent = deep.join(often, ["kind", "context"]).select("kind", "key", "n").unionByName(counts.where("kind = 1"))
+    frequent = deep.join(often, ["kind", "context"]).select("kind", "key", "n").unionByName(grams_of.where("kind = 1"))
     got = frequent.toArrow()
     kind, key, n = (got.column(c).to_numpy() for c in ("kind", "key", "n"))
     grams = {d: (key[kind == d + 1].view(np.uint64), n[kind == d + 1]) for d in range(depth + 1)}
     tree = build_tree(grams, depth, max(least_bits, share * symbols), weight)
-    w_n, w_v = totals.get(0, (0, 0))
     return tree, words, w_n + ends, w_v + (ends > 0), ends
 
 

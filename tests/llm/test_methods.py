@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("cadastra.llm")
 from cadastra.llm import bytesops as bo  # noqa: E402
@@ -86,15 +87,16 @@ def test_suffix_tree_keeps_and_scores_as_brute_force():
         assert np.allclose(tree.score(np.frombuffer(text, np.uint8)), want, atol=1e-4)
 
 
-def test_counting_tasks_give_all_orders():
+def test_counting_tasks_give_all_orders(spark):
     rng, depth = random.Random(4), 6
     texts = [t for _ in range(20) for t in odd_texts(rng)]
     batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([False] * len(texts))], names=["text", "held_out"])
     for limit in (64, 1 << 20):  # emptied often, and once
+        rows = [r for out in suffixtree._count_batches(depth, limit)(iter([batch])) for r in zip(*[c.to_pylist() for c in out.columns], strict=True)]
+        counted = spark.createDataFrame(rows, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
         got: dict[int, Counter] = {}
-        for out in suffixtree._count_batches(depth, limit)(iter([batch])):
-            for kind, key, n in zip(*[c.to_pylist() for c in out.columns], strict=True):
-                got.setdefault(kind, Counter())[key & (1 << 64) - 1] += n
+        for kind, key, n in [*counted.where("kind = 0").collect(), *suffixtree.all_orders(counted, depth).collect()]:
+            got.setdefault(kind, Counter())[key & (1 << 64) - 1] += n
         grams = naive_tree([normalised(t) for t in texts], depth, 1, 1.0, 8.0)[0]
         for d in range(depth + 1):
             want = {int.from_bytes(name + bytes([x]), "big"): n for name, c in grams.items() if len(name) == d for x, n in c.items()}
