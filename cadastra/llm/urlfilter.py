@@ -33,8 +33,8 @@ from cadastra.llm.decontaminate import ascii_lower
 
 #: (host, path, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: Host labels whose pages make up the list that op3 filters by.
-SPAM_LABELS = ("pills", "casino", "viagra", "porn", "warez", "lottery", "replica", "payday")
+#: op3 lists the URLs whose MD5, in hex, begins with this digit: about one in sixteen, whatever the words in them.
+LISTED_DIGIT = "0"
 
 
 def host_of(url: Column) -> Column:
@@ -135,19 +135,22 @@ def filter_urls(
     )
 
 
-def spam_list(pages: DataFrame) -> DataFrame:
-    """The list that op3 filters by: the URLs of pages whose host has a label with a spam word."""
-    return pages.select("url").where(host_of(F.col("url")).rlike("(^|[.-])(" + "|".join(SPAM_LABELS) + ")([.-]|$)"))
+def sample_list(pages: DataFrame) -> DataFrame:
+    """The list that op3 filters by.  The tables hold none, so URLs are drawn by their hash and listed
+    in another spelling (``www.``, upper case, a fragment): only their canonical form meets the pages'."""
+    url = F.col("url")
+    drawn = pages.select("url").where(F.substring(F.md5(url.cast("binary")), 1, 1) == LISTED_DIGIT)
+    return drawn.select(F.concat(F.regexp_replace(url, r"(?s)^(.*?)://(?i:www\.)?", "$1://WWW."), F.lit("#listed")).alias("url"))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
     pages = rt.table(spark, sf_dir, "pages")
-    return filter_urls(pages, spam_list(pages)).select("page_id", "host", "path", "rule", "verdict")
+    return filter_urls(pages, sample_list(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
 OP3_SQL = r"""
 WITH p AS (
-  SELECT page_id,
+  SELECT page_id, url,
          translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
          regexp_extract(coalesce(url, ''), '(?s)^[^?#]*\?([^#]*)', 1) AS query
@@ -156,7 +159,7 @@ c AS (
   SELECT *, regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '') || '?' ||
          array_to_string(list_sort(list_filter(string_split(query, '&'), lambda q: q <> '' AND NOT regexp_matches(q, '^(utm_\w+|ref|fbclid|gclid)(=|$)'))), '&') AS canon
   FROM p),
-listed AS (SELECT DISTINCT canon FROM c WHERE regexp_matches(host, '(^|[.-])(pills|casino|viagra|porn|warez|lottery|replica|payday)([.-]|$)')),
+listed AS (SELECT DISTINCT canon FROM c WHERE host <> '' AND starts_with(md5(url), '0')),
 r AS (
   SELECT *, CASE
     WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'

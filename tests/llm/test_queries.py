@@ -17,7 +17,7 @@ import pyarrow.parquet as pq
 import pytest
 
 pytest.importorskip("cadastra.llm")
-from cadastra.llm import queries  # noqa: E402
+from cadastra.llm import queries, urlfilter  # noqa: E402
 
 Q = queries.QUERIES
 SF = "/root/testdata/sf0.01"
@@ -145,7 +145,28 @@ def test_op3(spark, small):
         assert (r["host"], r["path"]) == (host, path)
         fits = [(len(h) + len(p), h + p, v) for (h, p), v in rules.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
         assert r["rule"] == (max(fits)[1] if fits else None)
-        assert r["verdict"] == (max(fits)[2] if fits else r["verdict"]) and r["verdict"] in ("allow", "block")
+        # no rule: blocked if another page's URL, equal in canonical form, is on the list
+        listed = {canon(p["url"]) for p in rows["pages"] if p["url"] and hashlib.md5(p["url"].encode()).hexdigest()[0] == urlfilter.LISTED_DIGIT}
+        assert r["verdict"] == (max(fits)[2] if fits else "block" if canon(url) in listed - {None} else "allow")
+
+
+def canon(url):
+    """Canonical form by plain Python: host, path and sorted query; None without a host."""
+    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?", url or "")
+    host = re.sub(r":(80|443)$", "", lower(m[1]).removeprefix("www.")) if m else ""
+    kept = sorted(q for q in (m[3] or "").split("&") if q and not re.match(r"(utm_\w+|ref|fbclid|gclid)(=|$)", q)) if m else []
+    return host + m[2].rstrip("/") + ("?" + "&".join(kept) if kept else "") if host else None
+
+
+def test_op3_list_decides(spark):
+    """Pages in pairs, the second a respelling of the first: what the list holds blocks both."""
+    first = [f"http://Site{i % 9}.org:80/a/{i}?b={i}&a=1" for i in range(400)]
+    second = [u.replace("http://", "https://www.") + "&utm_source=x#part" for u in first]
+    pages = spark.createDataFrame(list(enumerate(first + second)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urlfilter.filter_urls(pages, urlfilter.sample_list(pages), rules=()).collect()}
+    drawn = {canon(u) for u in first + second if hashlib.md5(u.encode()).hexdigest()[0] == urlfilter.LISTED_DIGIT}
+    assert 10 < len(drawn) < 200
+    assert got == {i: "block" if canon(u) in drawn else "allow" for i, u in enumerate(first + second)}
 
 
 def test_op4(spark, small):
