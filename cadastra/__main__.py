@@ -9,7 +9,7 @@ import time
 from pyspark.sql import SparkSession
 
 from cadastra.config import EngineConfig
-from cadastra.operators import documents
+from cadastra.operators import documents, mapping
 from cadastra.plans.extract import extract
 from cadastra.sources import artifacts, html, sinks
 from cadastra.streaming.ledger import Ledger, newest
@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
                 break
             time.sleep(cfg.poll_interval_seconds)
     elif args.command == "extract":
-        found = extract(*artifacts.read_json_layout(spark, cfg.gazettes_dir, args.gazette_id), cfg)
+        found = extract(*artifacts.read_json_layout(spark, cfg.gazettes_dir, args.gazette_id), cfg, mapping.transport_of(cfg))
         found["rows"].show(1000, truncate=False)
         found["plots"].show(1000, truncate=False)
     elif args.command == "chunk":

@@ -36,7 +36,10 @@ class EngineConfig:
     anchor_patterns: tuple[str, ...] = ANCHORS
     span_end_patterns: tuple[str, ...] = SPAN_ENDS
     running_text_patterns: tuple[str, ...] = RUNNING_TEXT
-    mapper: str = "heuristic"
+    mapper: str = "heuristic"  # or ollama, openai_compat
+    mapper_url: str = "http://localhost:11434"
+    mapper_model: str = ""
+    mapper_key: str = ""
     sheet_id: str | None = None
     sheet_credentials: str | None = None
     tab_rows: str = "Rows"

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cadastra import schemas
+from cadastra.config import EngineConfig
 from cadastra.functions.text import let, strip
 from cadastra.operators.tables import sample_rows
 
@@ -152,6 +153,15 @@ def http_transport(url: str, model: str, *, api: str = "ollama", key: str | None
     return call
 
 
+def transport_of(cfg: EngineConfig) -> Transport | None:
+    """The transport that the settings name; None for the heuristic alone."""
+    if cfg.mapper == "heuristic":
+        return None
+    if cfg.mapper not in ("ollama", "openai_compat"):
+        raise ValueError(f"unknown mapper: {cfg.mapper}")
+    return http_transport(cfg.mapper_url, cfg.mapper_model, api=cfg.mapper, key=cfg.mapper_key or None)
+
+
 def map_columns(tables: DataFrame, transport: Callable[[str], str] | None = None) -> DataFrame:
     """Adds ``mapped``.  The heuristic goes first; only tables it cannot map are sent through
     ``transport``, and any failure there leaves the heuristic's answer."""

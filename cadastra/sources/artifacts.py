@@ -6,6 +6,8 @@ The engine's own layout is Parquet partitioned by ``gazette_id`` (``meta``, ``pa
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,12 @@ from cadastra.functions import scalars as sc
 from cadastra.functions.text import page_class
 
 
+class Parser(Protocol):
+    """A document parser: files (``path, gazette_id``) to ``pages`` and ``tables`` of the engine's schemas."""
+
+    def __call__(self, files: DataFrame) -> tuple[DataFrame, DataFrame]: ...
+
+
 def read_json_layout(spark: SparkSession, root: str, gazette_id: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``meta``, ``pages`` and ``tables``; a single gazette reads only its own directory."""
     base = f"{root}/{gazette_id or '*'}"
@@ -84,3 +92,28 @@ def pending(files: DataFrame, status: DataFrame) -> DataFrame:
     """Files whose content no completed gazette has."""
     done = status.where(F.col("status") == "completed").select("sha256").distinct()
     return files.where(~F.col("skipped")).join(done, "sha256", "left_anti")
+
+
+def _fs(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, fs = _fs(spark, path)
+    return fs.exists(at)
+
+
+def move_files(spark: SparkSession, outcomes: DataFrame, processed_dir: str, failed_dir: str) -> None:
+    """Move each file (``path, outcome``) to the folder of its outcome; a file of that name there is
+    replaced, one that is there already or gone stays."""
+    for r in outcomes.select("path", "outcome").toLocalIterator():
+        source, fs = _fs(spark, r.path)
+        folder = _fs(spark, failed_dir if r.outcome == "failed" else processed_dir)[0]
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, source.getName())
+        if not fs.exists(source) or fs.makeQualified(source).equals(fs.makeQualified(target)):
+            continue
+        fs.mkdirs(folder)
+        fs.delete(target, False)
+        if not fs.rename(source, target):
+            raise OSError(f"cannot move {r.path} to {folder}")
