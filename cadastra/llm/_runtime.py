@@ -1,8 +1,8 @@
 """Session helpers shared by the operators: scratch tables, size checks, task sizing.
 
 Scratch tables live below the folder named by ``spark.checkpoint.dir`` so that every executor can
-read them after another one is lost.  Only where that setting is absent (tests, a laptop) is a
-folder of the driver's own used.
+read them after another one is lost.  Only in local mode (tests, a laptop), where that setting may
+be absent, is a folder of the driver's own used; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="cadastra-scratch-")
     return "file://" + _own_dir
@@ -67,8 +69,11 @@ def _at_exit() -> None:
 
 
 def fits_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` (already materialized, so counting is cheap) holds at most ``limit`` bytes."""
-    return df.limit(limit // row_bytes + 1).count() * row_bytes <= limit
+    """Whether ``df`` (already materialized, so reading is cheap) holds at most ``limit`` bytes, by
+    ``row_bytes`` a row and by the bytes of its values, whichever is more."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    found = df.limit(limit // row_bytes + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return max(found.n * row_bytes, found.bytes) <= limit
 
 
 def maybe_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 pytest.importorskip("cadastra.llm")
+from cadastra.llm import _runtime as rt  # noqa: E402
 from cadastra.llm import bytesops as bo  # noqa: E402
 from cadastra.llm import langid, setsketch, suffixtree, urlfilter, warc  # noqa: E402
 
@@ -184,3 +185,10 @@ def test_damaged_and_embedded_members(spark, tmp_path, sizes, nested):
         # a damaged member that held whole ones leaves those behind
         assert sorted(x for x in got if x[0] != -1) == sorted(want), size
         assert nested or not any(x[0] == -1 for x in got)
+
+
+def test_broadcast_is_decided_by_real_bytes(spark):
+    wide = spark.range(100).selectExpr("id", "repeat('x', 1000) as s", "array('a', repeat('y', 500)) as a")
+    assert rt.fits_broadcast(wide, 40, 200_000) and not rt.fits_broadcast(wide, 40, 100_000)
+    assert not rt.fits_broadcast(wide.select("id"), 40, 3_999) and rt.fits_broadcast(wide.select("id"), 40, 4_000)
+    assert rt.fits_broadcast(wide.limit(0), 40, 10)
