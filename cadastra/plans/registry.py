@@ -428,7 +428,7 @@ def outbox_pending(spark, sf_dir):
 @query("""
 WITH o AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
 SELECT CAST(o_custkey AS VARCHAR) AS gazette_id, max(n) AS n_rows, 'Gazette 39A — ' || CAST(max(n) AS VARCHAR) || ' new application(s)' AS subject,
-  string_agg('- ' || CAST(o_orderkey AS VARCHAR) || ' | N/A | ' || o_orderstatus || ', | ' || o_orderpriority, chr(10) ORDER BY k) FILTER (WHERE k <= 20) || CASE WHEN max(n) > 20 THEN chr(10) || '... and ' || CAST(max(n) - 20 AS VARCHAR) || ' more' ELSE '' END AS lines
+  string_agg('- ' || CAST(o_orderkey AS VARCHAR) || ' | N/A | ' || o_orderstatus || ',  | ' || o_orderpriority, chr(10) ORDER BY k) FILTER (WHERE k <= 20) || CASE WHEN max(n) > 20 THEN chr(10) || '... and ' || CAST(max(n) - 20 AS VARCHAR) || ' more' ELSE '' END AS lines
 FROM o GROUP BY o_custkey""")
 def digest_topk(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
@@ -439,7 +439,7 @@ def digest_topk(spark, sf_dir):
     )
     issues = spark.createDataFrame([], "gazette_id string, notification_no string, reason string, severity string, row struct<notification_no:string,sr_no:string>")
     d = records.digest(rows, issues)
-    return d.select("gazette_id", "n_rows", "subject", F.regexp_replace(F.array_join("lines", "\n"), ", \\|", ", |").alias("lines")).withColumn("lines", F.replace("lines", F.lit(",  |"), F.lit(", |")))
+    return d.select("gazette_id", "n_rows", "subject", F.array_join("lines", "\n").alias("lines"))
 
 
 @query(r"""
@@ -478,6 +478,38 @@ def otsu_threshold(spark, sf_dir):
     return documents.otsu_threshold(px)
 
 
+_MIXED, _DISPUTED = (t.replace("'", "''") for t in (records.MIXED_SURVEY, records.DISPUTED_SPLIT))
+
+
+@query(f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS gazette_id, l_partkey AS part, CAST(l_linenumber AS VARCHAR) || '.' AS sr_no,
+  CASE WHEN l_returnflag <> 'A' THEN l_returnflag END AS applicant,
+  nullif(concat_ws(' ', CASE WHEN l_linenumber IN (2, 5) THEN '{_MIXED}' END, CASE WHEN l_linestatus = 'F' THEN '{_DISPUTED}' END), '') AS review_reason
+FROM lineitem""")
+def review_reasons(spark, sf_dir):
+    """Application rows of records that the stitching doubts."""
+    li = _t(spark, sf_dir, "lineitem")
+    own = {"sr_no": F.concat(F.col("l_linenumber").cast("string"), F.lit(".")), "applicant": F.col("l_returnflag")}
+    raw = F.struct(*[own.get(f, F.lit(None).cast("string")).alias(f) for f in schemas.FIELDS])
+    zero, none = F.lit(0), F.lit(None).cast("string")
+    made = li.select(
+        F.col("l_orderkey").cast("string").alias("gazette_id"), none.alias("source_filename"), F.col("l_partkey").cast("string").alias("notification_no"), raw.alias("raw"),
+        F.when(F.col("l_returnflag") == "A", "ndz").otherwise("change_of_zone").alias("variant"), F.lit(0.9).alias("confidence"), F.array(F.lit(2), F.lit(5)).alias("suspect_sr"),
+        (F.col("l_linestatus") == "F").alias("disputed"), zero.alias("page_start"), zero.alias("page_end"), zero.alias("span_id"), zero.alias("table_seq"), F.col("l_linenumber").alias("record_id"),
+    )
+    return records.application_rows(made).select("gazette_id", F.col("notification_no").cast("long").alias("part"), "sr_no", "applicant", "review_reason")
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS sha256, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS created_at FROM orders WHERE o_orderstatus = 'F' ORDER BY created_at DESC, sha256 LIMIT 50""")
+def ledger_newest(spark, sf_dir):
+    """The 50 newest completed gazettes: the ledger's report."""
+    o = _t(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "completed").otherwise("failed")
+    log = o.select(F.col("o_orderkey").cast("string").alias("sha256"), status.alias("status"), F.col("o_orderdate").cast("date").cast("string").alias("created_at"))
+    return lg.newest(log, "completed").select("sha256", "created_at")
+
+
 @query("SELECT event_type AS stage, count(*) AS count, sum(value) AS total_s, avg(value) AS avg_s FROM events GROUP BY event_type")
 def timing_stats(spark, sf_dir):
     return documents.timing_stats(_t(spark, sf_dir, "events").select(F.col("event_type").alias("stage"), F.col("value").alias("seconds")))
@@ -496,7 +528,10 @@ def stream_ingest(spark, sf_dir):
 
     source = f"{sf_dir}/events.parquet"
     schema: StructType = spark.read.parquet(source).schema
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="cadastra-stream-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    base = base or "file://" + tempfile.mkdtemp(prefix="cadastra-stream-")
     run = f"{base.rstrip('/')}/cadastra/stream-{uuid.uuid4().hex}"
     parent, name = os.path.split(source)
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(parent if "." in name and _is_file(spark, source) else source)
