@@ -33,8 +33,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays.  Five words and 0.8 or more are the library's
-    figures for shingles; the operator's own contract (three words, 0.85) is stricter on neither."""
+    """One document of each group of near copies stays.  Shingles of five words and a similarity of 0.8,
+    the figures for every stage on word shingles; three words and 0.85 belong to the query op6 alone."""
     return setsketch.drop_near_duplicates(docs, setsketch.Params(shingle=5, percent=80))
 
 
