@@ -8,22 +8,22 @@ from pyspark.sql import functions as F
 from cadastra.functions.text import blank, extract, let, strip
 
 _NUMBER_CELL = r"^\(?(\d{1,2})\)?\.?$"
-
-
-def words(row: Column) -> Column:
-    return F.filter(F.split(F.array_join(F.transform(row, lambda c: F.coalesce(c, F.lit(""))), " "), r"(?U)\s+"), lambda w: w != "")
+_NUMBERS = r"(?U)^\s*(?:\(?[0-9]{1,2}\)?\.?\s+){2,}\(?[0-9]{1,2}\)?\.?\s*$"
 
 
 def is_column_number_row(row: Column) -> Column:
     """Rows that number the columns: at least three numbers, strictly rising."""
     number = lambda t: F.regexp_extract(t, _NUMBER_CELL, 1).try_cast("int")
 
-    def rises(w: Column) -> Column:
+    def rises(joined: Column) -> Column:
         # one pass: the last number while rising, then -2 for good
-        last = F.aggregate(w, F.lit(-1), lambda last, t: F.when((last > -2) & (number(t) > last), number(t)).otherwise(-2))
-        return (F.size(w) >= 3) & (last >= 0)
+        words = F.filter(F.split(joined, r"(?U)\s+"), lambda w: w != "")
+        last = F.aggregate(words, F.lit(-1), lambda last, t: F.when((last > -2) & (number(t) > last), number(t)).otherwise(-2))
+        return last >= 0
 
-    return F.coalesce(let(words(row), rises), F.lit(False))
+    # the pattern turns away nearly all rows at their first words; only rows of numbers alone are walked
+    joined = F.array_join(row, " ", "")
+    return F.coalesce(let(joined, lambda j: F.when(j.rlike(_NUMBERS), rises(j))), F.lit(False))
 
 
 def is_text_header_row(row: Column) -> Column:

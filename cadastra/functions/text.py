@@ -14,9 +14,14 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+#: The characters of the pattern ``(?U)\\s``.
+WHITE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(c: Column) -> Column:
-    """Remove all Unicode white space at both ends (``trim`` only removes U+0020)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Remove all Unicode white space at both ends (``trim`` only removes U+0020).  A list of
+    characters, not a pattern: a pattern tries every place of a text for its end."""
+    return F.btrim(c, F.lit(WHITE))
 
 
 def squash(c: Column) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from itertools import accumulate, islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,31 +68,34 @@ def _chain_ids(ratio: float):
     def same(a: str, b: str) -> bool:
         return a == b or SequenceMatcher(None, a, b).ratio() >= ratio
 
-    @F.pandas_udf("array<int>")
-    def run(spans: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<int>")
+    def run(spans: pa.Array) -> pa.Array:
         """Chain number of each table of a span; the state is the chain's head and its last number."""
+        fields = spans.flatten().flatten()
+        rows = zip(*(f.to_pylist() for f in fields), strict=True)
+        sizes = spans.value_lengths().to_pylist()
         out = []
-        for tables in spans:
-            ids, chain, prev, head, last = [], -1, None, None, None
-            for t in tables:
+        for n in sizes:
+            chain, prev, head, last = -1, None, None, None
+            for page_no, n_cols, body_before, body_after, own_head, first_sr, last_sr in islice(rows, n):
                 joins = (
                     prev is not None
-                    and t["page_no"] is not None
-                    and prev["page_no"] is not None
-                    and t["page_no"] == prev["page_no"] + 1
-                    and t["n_cols"] == prev["n_cols"]
-                    and not prev["body_after"]
-                    and not t["body_before"]
-                    and (t["head"] is None or head is not None and same(t["head"], head))
-                    and not (last is not None and t["first_sr"] is not None and t["first_sr"] <= last)
+                    and page_no is not None
+                    and prev[0] is not None
+                    and page_no == prev[0] + 1
+                    and n_cols == prev[1]
+                    and not prev[2]
+                    and not body_before
+                    and (own_head is None or head is not None and same(own_head, head))
+                    and not (last is not None and first_sr is not None and first_sr <= last)
                 )
                 if not joins:
-                    chain, head, last = chain + 1, t["head"], None
-                last = t["last_sr"] if t["last_sr"] is not None else last
-                prev = t
-                ids.append(chain)
-            out.append(ids)
-        return pd.Series(out)
+                    chain, head, last = chain + 1, own_head, None
+                last = last_sr if last_sr is not None else last
+                prev = page_no, n_cols, body_after
+                out.append(chain)
+        ends = pa.array([0, *accumulate(sizes)], pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(out, pa.int32()))
 
     return run
 
@@ -102,11 +106,12 @@ def stitch(span_tables: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFr
     body = lambda c: F.size(tx.body_text(c, cfg.running_text_patterns, cfg.running_text_max)) > 0
     fixed = split_first_column(span_tables)
     numbers = F.filter(F.transform("grid", ce.row_sr), lambda n: n.isNotNull())
-    lead = F.get(F.filter("grid", lambda r: ~ce.is_marker_row(r)), F.lit(0))
     top = F.get("grid", F.lit(0))
     # a repeated header is dropped from every table but a chain's first
-    body_grid = F.when((F.size("grid") > 0) & ce.is_header_like(top), F.slice("grid", 2, F.greatest(F.size("grid") - 1, F.lit(1)))).otherwise(F.col("grid"))
-    described = fixed.withColumns({"numbers": numbers, "later": body_grid}).select(
+    repeats = (F.size("grid") > 0) & ce.is_header_like(top)
+    body_grid = lambda t: F.when(t["repeats"], F.slice(t["grid"], 2, F.greatest(F.size(t["grid"]) - 1, F.lit(1)))).otherwise(t["grid"])
+    later = body_grid({"repeats": F.col("repeats"), "grid": F.col("grid")})
+    described = fixed.withColumns({"numbers": numbers, "repeats": repeats}).select(
         "gazette_id",
         "span_id",
         "notification_no",
@@ -125,9 +130,9 @@ def stitch(span_tables: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFr
             F.get("numbers", F.size("numbers") - 1).alias("last_sr"),
             "header",
             "grid",
-            "later",
+            "repeats",
             "suspect_sr",
-            F.coalesce(ce.row_sr(F.get(F.filter("later", lambda r: ~ce.is_marker_row(r)), F.lit(0))).isNotNull(), F.lit(False)).alias("starts_numbered"),
+            F.coalesce(ce.row_sr(F.get(F.filter(later, lambda r: ~ce.is_marker_row(r)), F.lit(0))).isNotNull(), F.lit(False)).alias("starts_numbered"),
         ).alias("t"),
     )
     keys = ["gazette_id", "span_id"]
@@ -137,9 +142,10 @@ def stitch(span_tables: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFr
     narrow = F.transform("ts", lambda t: F.struct(*[t[c].alias(c) for c in ("page_no", "n_cols", "body_before", "body_after", "head", "first_sr", "last_sr")]))
     chained = spans.withColumn("chain", _chain_ids(cfg.header_ratio)(narrow))
     split = chained.select("*", F.explode(F.array_distinct("chain")).alias("chain_id"))
-    own = F.transform(F.filter(F.arrays_zip("ts", "chain"), lambda x: x["chain"] == F.col("chain_id")), lambda x: x["ts"])
+    # the tables of a chain stand together
+    own = F.slice("ts", F.array_position("chain", F.col("chain_id")).cast("int"), F.size(F.filter("chain", lambda c: c == F.col("chain_id"))))
     one = split.select(*keys, "notification_no", "page_start", "page_end", "variant_hint", "chain_id", own.alias("own"))
-    rows = F.flatten(F.transform("own", lambda t, i: F.when(i == 0, t["grid"]).otherwise(t["later"])))
+    rows = F.flatten(F.transform("own", lambda t, i: F.when(i == 0, t["grid"]).otherwise(body_grid(t))))
 
     def suspects(t: Column, i: Column) -> Column:
         before = F.filter(F.transform(F.slice("own", F.lit(1), i), lambda p: p["last_sr"]), lambda n: n.isNotNull())
@@ -158,13 +164,17 @@ def stitch(span_tables: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFr
         rows.alias("rows"),
         F.array_sort(F.array_distinct(F.flatten(F.transform("own", suspects)))).alias("suspect_sr"),
     )
-    return done.where(F.size("rows") > 0)
+    # behind a generator: pushed below the projection, the filter would stitch once more
+    return done.select(*[c for c in done.columns if c not in ("rows", "suspect_sr")], F.explode(F.array(F.struct("rows", "suspect_sr"))).alias("_t")).where(
+        F.size("_t.rows") > 0
+    ).select(*[F.col(f"_t.{c}").alias(c) if c in ("rows", "suspect_sr") else c for c in done.columns])
 
 
 def split_header(stitched: DataFrame) -> DataFrame:
     """``header`` becomes the heading row (blank if there is none) and ``rows`` the data rows."""
     named = F.col("header").isNotNull() & (F.size("header") > 0) & ~ce.is_column_number_row(F.col("header"))
-    at = F.array_position(F.transform(F.slice("rows", 1, 6), lambda r: ce.is_text_header_row(r)), True).cast("int")
+    # a table with a header of its own is not searched for one
+    at = F.when(F.coalesce(named, F.lit(False)), 0).otherwise(F.array_position(F.transform(F.slice("rows", 1, 6), lambda r: ce.is_text_header_row(r)), True).cast("int"))
     width = F.aggregate("rows", F.lit(0), lambda w, r: F.greatest(w, F.size(r)))
     found = stitched.withColumns({"named": F.coalesce(named, F.lit(False)), "at": at})
     return found.withColumns(

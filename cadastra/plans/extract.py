@@ -18,18 +18,14 @@ def extract_rows(meta: DataFrame, pages: DataFrame, raw_tables: DataFrame, cfg:
     mapped = mapping.map_columns(stitched, transport)
     names = meta.select("gazette_id", "source_filename")
     keys = ["gazette_id", "span_id", "table_seq"]
-    table = ["notification_no", "page_start", "page_end", "suspect_sr", "header", "column_map", "variant", "confidence"]
     # tables that are none of ours lose their rows here: a filter on the verdict or on the rows would
     # be pushed below the projections and compute stitching and mapping once more
-    wanted = F.when(F.col("mapped.is_39a"), F.col("rows"))
+    wanted = F.filter(F.when(F.col("mapped.is_39a"), F.col("rows")), lambda r: ~ce.is_marker_row(r))
     described = mapped.select(
-        *keys, "notification_no", "page_start", "page_end", "suspect_sr", "header", "mapped.column_map", "mapped.variant", "mapped.confidence",
-        F.posexplode_outer(wanted).alias("row_idx", "cells"),
-    )
-    rows = described.where(F.col("cells").isNotNull() & ~ce.is_marker_row(F.col("cells"))).withColumns(
-        {"sr_col": F.col("column_map.sr_no"), "survey_col": F.col("column_map.survey"), "place_col": F.col("column_map.village_taluka")}
+        *keys, "notification_no", "page_start", "page_end", "suspect_sr", "header", "mapped.column_map", "mapped.variant", "mapped.confidence", wanted.alias("rows")
     )
-    merged = merge.fold_records(merge.number_records(rows), carry=tuple(table))
+    at = F.col("column_map")
+    merged = merge.fold_tables(described, at["sr_no"], at["survey"], at["village_taluka"])
     back = merged.where(~ce.is_marker_row(F.col("cells")))
     raw = back.withColumns(
         {

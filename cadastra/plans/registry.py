@@ -268,11 +268,8 @@ cand AS (
 SELECT id, field, CAST(col AS INT) AS col, CAST(n AS INT) AS n FROM cand""")
 def header_alias_candidates(spark, sf_dir):
     """Field candidates of headings (the greedy choice among them is in ``column_map``)."""
-    names = F.transform("header", lambda h: tx.strip(F.regexp_replace(F.lower(tx.strip(h)), r"(?U)\s+", " ")))
-    each = _headers(spark).select("id", "hint", F.posexplode(names).alias("col", "h"))
-    fields = F.array(*[F.struct(F.lit(f).alias("field"), mapping._longest_alias(F.col("h"), f).alias("n")) for f in schemas.FIELDS])
-    out = each.select("id", "hint", "col", F.explode(fields).alias("c")).where((F.col("c.n") > 0) & ~((F.col("c.field") == "applicant") & (F.coalesce("hint", F.lit("")) == "ndz")))
-    return out.select("id", "c.field", "col", "c.n")
+    each = _headers(spark).select("id", F.explode(mapping.heading_candidates(F.col("header"), F.col("hint"))).alias("c"))
+    return each.select("id", "c.field", "c.col", "c.n")
 
 
 @query(f"""
@@ -549,21 +546,25 @@ def _is_file(spark: SparkSession, path: str) -> bool:
 def gazettes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A gazette per order, made of its line items: two pages, one table that runs across both."""
     li = _t(spark, sf_dir, "lineitem")
-    at = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax"))
-    g = F.col("l_orderkey").cast("string")
-    place = F.element_at(F.array(*[F.lit(f"Village, {t.title()}") for t in schemas.TALUKAS], F.lit("Village, Nowhere")), (F.col("l_suppkey") % 13 + 1).cast("int"))
-    cells = F.array(
-        F.concat(F.col("at").cast("string"), F.lit(".")), F.concat(F.lit("Applicant "), F.col("l_suppkey").cast("string")), F.concat(F.col("l_partkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string"), F.lit(" to 7")),
-        place, F.concat(F.lit("Orchard, "), F.col("l_quantity").cast("int").cast("string")), F.lit("Settlement"), F.col("l_quantity").cast("int").cast("string"), F.lit("Recommended"),
-    )
-    rows = li.withColumn("at", at).select(g.alias("gazette_id"), "at", cells.alias("cells"), (F.col("at") > 3).cast("int").alias("part"))
-    grid = F.transform(F.array_sort(F.collect_list(F.struct("at", "cells"))), lambda x: x["cells"])
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax"]
+    items = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("items"))
+    talukas = F.array(*[F.lit(f"Village, {t.title()}") for t in schemas.TALUKAS], F.lit("Village, Nowhere"))
+
+    def cells(x: Column, i: Column) -> Column:
+        whole = x["l_quantity"].cast("int").cast("string")
+        return F.array(
+            F.concat((i + 1).cast("string"), F.lit(".")), F.concat(F.lit("Applicant "), x["l_suppkey"].cast("string")), F.concat(x["l_partkey"].cast("string"), F.lit("/"), x["l_linenumber"].cast("string"), F.lit(" to 7")),
+            F.element_at(talukas, (x["l_suppkey"] % 13 + 1).cast("int")), F.concat(F.lit("Orchard, "), whole), F.lit("Settlement"), whole, F.lit("Recommended"),
+        )
+
     header = F.array(*[F.lit(h) for h in _HEADERS[0][1]])
-    raw = rows.groupBy("gazette_id", "part").agg(grid.alias("grid")).select(
+    grids = items.select(F.col("l_orderkey").cast("string").alias("gazette_id"), F.explode(F.array(F.transform("items", cells))).alias("rows"))
+    parts = F.array(F.slice("rows", 1, 3), F.slice("rows", 4, F.greatest(F.size("rows"), F.lit(1))))
+    raw = grids.select("gazette_id", F.posexplode(parts).alias("part", "grid")).where(F.size("grid") > 0).select(
         "gazette_id", F.col("part").alias("idx"), (F.col("part") + 10).alias("page_no"), F.size("grid").alias("n_rows"), F.lit(8).alias("n_cols"),
         F.when(F.col("part") == 0, header).alias("header"), "grid", F.lit(None).cast("array<string>").alias("text_before"), F.lit(None).cast("array<string>").alias("text_after"),
     )
-    ids = rows.select("gazette_id").distinct()
+    ids = li.select(F.col("l_orderkey").cast("string").alias("gazette_id")).distinct()
     text = F.when(F.col("page_no") == 10, F.concat(F.lit("Notification No. "), F.col("gazette_id"), F.lit("\nSection 39A change of zone"))).otherwise("| table |")
     pages = ids.select("gazette_id", F.explode(F.array(F.lit(10), F.lit(11))).alias("page_no")).select("gazette_id", "page_no", text.alias("text"))
     meta = ids.select("gazette_id", F.concat(F.col("gazette_id"), F.lit(".pdf")).alias("source_filename"), F.sha2(F.col("gazette_id").cast("binary"), 256).alias("sha256"), F.lit(2).alias("page_count"))
