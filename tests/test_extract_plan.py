@@ -17,18 +17,24 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def _rows(spark):
+def _given(spark):
     meta = spark.createDataFrame([("g", "g.pdf", "x", 1)], schemas.META)
     pages = spark.createDataFrame([("g", 1, "Section 39A change of zone")], schemas.PAGES)
     tables = spark.createDataFrame([("g", 0, 1, 1, 2, ["Sr", "Survey"], [["1.", "5/1"]], None, None)], schemas.TABLES)
-    return extract.extract_rows(meta, pages, tables)
+    return meta, pages, tables
 
 
 def test_rows_are_not_windowed_and_headings_not_searched_by_pattern(spark):
-    plan = _plan(_rows(spark))
+    plan = _plan(extract.extract_rows(*_given(spark)))
     assert "Window" not in plan and "name of the applicant" not in plan.replace(r"\Q", "")
 
 
+def test_plots_window_only_for_repeated_numbers(spark):
+    plots = extract.extract(*_given(spark))["plots"]
+    assert _plan(plots).count("Window [") == 1
+    assert [r.survey_number for r in plots.collect()] == []  # a row without a place is not accepted
+
+
 def test_strip_equals_the_pattern(spark):
     rng = random.Random(5)
     odd = [*tx.WHITE, "a", "​", "\x1c", "é", "", " \n"]
