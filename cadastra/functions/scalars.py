@@ -46,6 +46,8 @@ def split_place(value: Column) -> Column:
 
 # Forms of survey numbers.
 _RANGE = r"(?i)(\d+)/(\d+)\s+to\s+(\d+)(?:\s*\((P|Part)\))?"
+#: A text that is one range and nothing else: read with string functions, as nearly all texts with ranges are.
+_ONE_RANGE = r"^\d{1,38}/\d{1,38} to \d{1,38}$"
 _SINGLE = r"(?i)^(\d+)/(\d+(?:-[A-Za-z0-9]+)?)(?:\s*\((P|Part)\))?"
 _PLOT = r"(?i)Plot\s+No\.?\s*([A-Za-z0-9\-]+)"
 _SPAN = "struct<prefix:string,lo:decimal(38,0),hi:decimal(38,0),number:string,is_part:boolean>"
@@ -75,7 +77,13 @@ def survey_spans(raw: Column) -> Column:
         return F.when(t.rlike(_SINGLE), one(number, F.regexp_extract(t, _SINGLE, 3) != "")).when(t.rlike(_PLOT), one(plot, F.lit(False)))
 
     singles = F.filter(F.transform(F.filter(tokens, lambda t: ~t.isin("", "(P)", "(Part)")), single), lambda e: e.isNotNull())
-    return F.when(raw.isNull(), F.array().cast(f"array<{_SPAN}>")).otherwise(F.concat(ranges, singles))
+    none_found = F.array().cast(f"array<{_SPAN}>")
+    bounds = F.substring_index(raw, "/", -1)
+    lo, hi = (F.substring_index(bounds, " ", n).try_cast("decimal(38,0)") for n in (1, -1))
+    own = F.struct(F.substring_index(raw, "/", 1).alias("prefix"), lo.alias("lo"), hi.alias("hi"), F.lit(None).cast("string").alias("number"), F.lit(False).alias("is_part"))
+    # $ also stands before a last line break, which is no digit
+    alone = raw.rlike(_ONE_RANGE) & F.right(raw, F.lit(1)).between("0", "9")
+    return F.when(raw.isNull(), none_found).when(alone, F.when(lo <= hi, F.array(own)).otherwise(none_found)).otherwise(F.concat(ranges, singles))
 
 
 #: Numbers of a range that one row carries before they are listed one by one.
@@ -93,7 +101,7 @@ def explode_surveys(df: DataFrame, raw: Column) -> DataFrame:
     s = F.col("_s")
     # of the spans before, only those that could hold one of this span's numbers
     key = F.coalesce(s["prefix"], F.substring_index(s["number"], "/", 1))
-    rivals = F.filter(before, lambda b: (b["number"] == s["number"]) | (b["prefix"] == key))
+    rivals = F.when(F.col("_at") == 0, F.array().cast(f"array<{_SPAN}>")).otherwise(F.filter(before, lambda b: (b["number"] == s["number"]) | (b["prefix"] == key)))
     last = F.coalesce((s["hi"] - s["lo"]).try_cast("bigint"), F.lit(0))
     each = each.select(*own, "_s", rivals.alias("_rivals"), last.alias("_last"))
     blocks = each.select(*own, "_s", "_rivals", "_last", F.explode(F.expr(f"sequence(0L, _last div {RANGE_BLOCK}L)")).alias("_block"))
@@ -104,7 +112,7 @@ def explode_surveys(df: DataFrame, raw: Column) -> DataFrame:
     tail = F.substring_index("survey_number", "/", -1)
     value = F.when(tail.rlike(r"^(0|[1-9]\d*)$"), tail.try_cast("decimal(38,0)"))
     said = F.exists("_rivals", lambda b: F.coalesce((b["number"] == F.col("survey_number")) | value.between(b["lo"], b["hi"]), F.lit(False)))
-    return named.where(~said).drop("_rivals")
+    return named.where((F.size("_rivals") == 0) | ~said).drop("_rivals")
 
 
 def validation_sr(sr_no: Column) -> Column:

@@ -27,7 +27,7 @@ def application_rows(records: DataFrame) -> DataFrame:
     ``disputed``.  Pages are those of the span."""
     raw = {f: F.col(f"raw.{f}") for f in schemas.FIELDS}
     place = F.col("_place")
-    suspect = F.coalesce(F.array_contains("suspect_sr", ce.parse_sr(raw["sr_no"])), F.lit(False))
+    suspect = F.when(F.size("suspect_sr") > 0, F.coalesce(F.array_contains("suspect_sr", ce.parse_sr(raw["sr_no"])), F.lit(False)))
     reasons = F.concat_ws(" ", F.when(suspect, MIXED_SURVEY), F.when(F.col("disputed"), DISPUTED_SPLIT))
     return records.withColumn("_place", sc.split_place(raw["village_taluka"])).select(
         "gazette_id",

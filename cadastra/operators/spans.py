@@ -13,6 +13,46 @@ from cadastra.config import EngineConfig
 from cadastra.functions import text as tx
 
 
+_FRESH = r"(?i)Notification\s+No\.?\s*([^\r\n]+)"
+
+
+def _beyond_end(prose: Column, cfg: EngineConfig) -> Column:
+    """What follows the earliest closing phrase; all of a text without one."""
+    closing = [F.regexp_instr(prose, F.lit("(?i)" + p)) + F.length(F.regexp_extract(prose, "(?i)" + p, 0)) for p in cfg.span_end_patterns]
+    ends = [F.when(prose.rlike("(?i)" + p), at) for p, at in zip(cfg.span_end_patterns, closing, strict=True)]
+    earliest = F.least(*ends) if len(ends) > 1 else (ends[0] if ends else F.lit(None).cast("int"))
+    return F.when(earliest.isNotNull(), F.substr(prose, earliest)).otherwise(prose)
+
+
+def page_marks(pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
+    """What a page's own text says of it: ``page_flags`` before its tables are looked at."""
+    prose = F.col("prose")
+    return pages.withColumn("prose", tx.prose(F.coalesce("text", F.lit("")))).select(
+        "gazette_id",
+        "page_no",
+        tx.matches_any(prose, cfg.anchor_patterns).alias("anchor"),
+        tx.matches_any(prose, cfg.span_end_patterns).alias("closes"),
+        tx.notification_no(prose).alias("notification_no"),
+        tx.variant_hint(F.coalesce("text", F.lit(""))).alias("variant_hint"),
+        _beyond_end(prose, cfg).rlike(_FRESH).alias("fresh"),
+    )
+
+
+def edge_marks(tables: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
+    """Adds what the texts around a table say: ``body_before``, ``body_after``, ``anchor_after``, ``tail_fresh``."""
+    body = lambda c: F.when(F.size(c) > 0, F.size(tx.body_text(F.col(c), cfg.running_text_patterns, cfg.running_text_max)) > 0)
+    after = F.when(F.size("text_after") > 0, F.exists("text_after", lambda t: F.coalesce(tx.matches_any(t, cfg.anchor_patterns), F.lit(False))))
+    none = lambda c: F.coalesce(c, F.lit(False))
+    return tables.withColumns(
+        {
+            "body_before": none(body("text_before")),
+            "body_after": none(body("text_after")),
+            "anchor_after": none(after),
+            "tail_fresh": none(F.array_join("text_after", "\n").rlike(_FRESH)),
+        }
+    )
+
+
 def page_flags(pages: DataFrame, tables: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
     """Per page: ``anchor``, ``closes``, ``notification_no``, ``variant_hint``, ``ends_start`` and
     ``ends_any`` (the table ends here, as a span's first or as a later page), ``fresh`` (a new
@@ -38,10 +78,7 @@ def page_flags(pages: DataFrame, tables: DataFrame, cfg: EngineConfig = EngineCo
     both = here.join(after, ["gazette_id", "page_no"], "left").withColumn("prose", tx.prose(F.coalesce("text", F.lit(""))))
     has_table = F.col("body_after").isNotNull()
     ends_any = F.coalesce(has_table & (F.col("body_after") | F.coalesce("next_before", F.lit(True))), F.lit(False))
-    closing = [F.regexp_instr("prose", F.lit("(?i)" + p)) + F.length(F.regexp_extract("prose", "(?i)" + p, 0)) for p in cfg.span_end_patterns]
-    ends = [F.when(F.col("prose").rlike("(?i)" + p), at) for p, at in zip(cfg.span_end_patterns, closing, strict=True)]
-    earliest = F.least(*ends) if len(ends) > 1 else (ends[0] if ends else F.lit(None).cast("int"))
-    rest = F.when(has_table, F.col("tail")).when(earliest.isNotNull(), F.expr("substring(prose, 1)") if not ends else F.substr("prose", earliest)).otherwise(F.col("prose"))
+    rest = F.when(has_table, F.col("tail")).otherwise(_beyond_end(F.col("prose"), cfg))
     return both.select(
         "gazette_id",
         "page_no",
@@ -51,7 +88,7 @@ def page_flags(pages: DataFrame, tables: DataFrame, cfg: EngineConfig = EngineCo
         tx.variant_hint(F.coalesce("text", F.lit(""))).alias("variant_hint"),
         (ends_any & ~F.coalesce("anchor_after", F.lit(False))).alias("ends_start"),
         ends_any.alias("ends_any"),
-        rest.rlike(r"(?i)Notification\s+No\.?\s*([^\r\n]+)").alias("fresh"),
+        rest.rlike(_FRESH).alias("fresh"),
     )
 
 

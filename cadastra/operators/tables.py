@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from difflib import SequenceMatcher
 from itertools import accumulate, islice
 
@@ -64,36 +65,40 @@ def _text_header(header: Column, grid: Column) -> Column:
     return F.when(F.coalesce(named, F.lit(False)), header).when(ce.is_text_header_row(top), top)
 
 
-def _chain_ids(ratio: float):
-    def same(a: str, b: str) -> bool:
-        return a == b or SequenceMatcher(None, a, b).ratio() >= ratio
+def chain_numbers(rows: Iterable[tuple], ratio: float) -> list[int]:
+    """Chain number of each table of a span, in order; the state is the chain's head and its last number.
+    Tables: page, columns, text before, text after, heading, first and last serial number."""
+    chain, prev, head, last, out = -1, None, None, None, []
+    for page_no, n_cols, body_before, body_after, own_head, first_sr, last_sr in rows:
+        joins = (
+            prev is not None
+            and page_no is not None
+            and prev[0] is not None
+            and page_no == prev[0] + 1
+            and n_cols == prev[1]
+            and not prev[2]
+            and not body_before
+            and (own_head is None or head is not None and _alike(own_head, head, ratio))
+            and not (last is not None and first_sr is not None and first_sr <= last)
+        )
+        if not joins:
+            chain, head, last = chain + 1, own_head, None
+        last = last_sr if last_sr is not None else last
+        prev = page_no, n_cols, body_after
+        out.append(chain)
+    return out
+
 
+def _alike(a: str, b: str, ratio: float) -> bool:
+    return a == b or SequenceMatcher(None, a, b).ratio() >= ratio
+
+
+def _chain_ids(ratio: float):
     @F.arrow_udf("array<int>")
     def run(spans: pa.Array) -> pa.Array:
-        """Chain number of each table of a span; the state is the chain's head and its last number."""
-        fields = spans.flatten().flatten()
-        rows = zip(*(f.to_pylist() for f in fields), strict=True)
+        rows = zip(*(f.to_pylist() for f in spans.flatten().flatten()), strict=True)
         sizes = spans.value_lengths().to_pylist()
-        out = []
-        for n in sizes:
-            chain, prev, head, last = -1, None, None, None
-            for page_no, n_cols, body_before, body_after, own_head, first_sr, last_sr in islice(rows, n):
-                joins = (
-                    prev is not None
-                    and page_no is not None
-                    and prev[0] is not None
-                    and page_no == prev[0] + 1
-                    and n_cols == prev[1]
-                    and not prev[2]
-                    and not body_before
-                    and (own_head is None or head is not None and same(own_head, head))
-                    and not (last is not None and first_sr is not None and first_sr <= last)
-                )
-                if not joins:
-                    chain, head, last = chain + 1, own_head, None
-                last = last_sr if last_sr is not None else last
-                prev = page_no, n_cols, body_after
-                out.append(chain)
+        out = [c for n in sizes for c in chain_numbers(islice(rows, n), ratio)]
         ends = pa.array([0, *accumulate(sizes)], pa.int32())
         return pa.ListArray.from_arrays(ends, pa.array(out, pa.int32()))
 

@@ -8,11 +8,27 @@ from pyspark.sql import functions as F
 from cadastra import schemas
 from cadastra.config import EngineConfig
 from cadastra.functions import cells as ce
-from cadastra.operators import mapping, merge, records, spans, tables
+from cadastra.operators import gazette, mapping, merge, records, spans, tables
 
 
 def extract_rows(meta: DataFrame, pages: DataFrame, raw_tables: DataFrame, cfg: EngineConfig = EngineConfig(), transport=None) -> DataFrame:
-    """Application rows of all gazettes.  Every key begins with ``gazette_id``: gazettes never mix."""
+    """Application rows of all gazettes.  Every key begins with ``gazette_id``: gazettes never mix.
+
+    Without a model all steps up to the records are one (``gazette``); with one, they are those of the
+    single operators, which give the same records and the samples to ask about."""
+    found = records_at_once(meta, pages, raw_tables, cfg) if transport is None else stepwise(meta, pages, raw_tables, cfg, transport)
+    return records.application_rows(found)
+
+
+def records_at_once(meta: DataFrame, pages: DataFrame, raw_tables: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
+    """The records of all gazettes, from one pass over each."""
+    found = gazette.find_records(meta, pages, raw_tables, cfg)
+    table = [F.col(f"_t.{c}").alias(c) for c in ("span_id", "table_seq", "notification_no", "page_start", "page_end", "variant", "confidence", "suspect_sr")]
+    return found.select("gazette_id", "source_filename", *table, F.explode("_t.records").alias("_r")).select("*", "_r.*").drop("_r")
+
+
+def stepwise(meta: DataFrame, pages: DataFrame, raw_tables: DataFrame, cfg: EngineConfig = EngineConfig(), transport=None) -> DataFrame:
+    """The records of all gazettes, operator after operator."""
     found = spans.find_spans(pages, raw_tables, cfg)
     stitched = tables.split_header(tables.stitch(spans.tables_in_spans(raw_tables, found), cfg))
     mapped = mapping.map_columns(stitched, transport)
@@ -27,13 +43,12 @@ def extract_rows(meta: DataFrame, pages: DataFrame, raw_tables: DataFrame, cfg:
     at = F.col("column_map")
     merged = merge.fold_tables(described, at["sr_no"], at["survey"], at["village_taluka"])
     back = merged.where(~ce.is_marker_row(F.col("cells")))
-    raw = back.withColumns(
+    return back.withColumns(
         {
             "raw": merge.apply_column_map(F.col("cells"), F.col("column_map"), schemas.FIELDS),
             "variant": F.coalesce("variant", mapping.infer_variant(F.col("header"))),
         }
     ).join(names, "gazette_id", "left")
-    return records.application_rows(raw)
 
 
 def extract(meta: DataFrame, pages: DataFrame, raw_tables: DataFrame, cfg: EngineConfig = EngineConfig(), transport=None) -> dict[str, DataFrame]:

@@ -547,7 +547,8 @@ def gazettes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     """A gazette per order, made of its line items: two pages, one table that runs across both."""
     li = _t(spark, sf_dir, "lineitem")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax"]
-    items = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("items"))
+    # grouped by the gazette's own key, so that the extraction finds its rows dealt out; no struct is null, so sort_array orders them alike
+    items = li.groupBy(F.col("l_orderkey").cast("string").alias("gazette_id")).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("items"))
     talukas = F.array(*[F.lit(f"Village, {t.title()}") for t in schemas.TALUKAS], F.lit("Village, Nowhere"))
 
     def cells(x: Column, i: Column) -> Column:
@@ -558,7 +559,7 @@ def gazettes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
         )
 
     header = F.array(*[F.lit(h) for h in _HEADERS[0][1]])
-    grids = items.select(F.col("l_orderkey").cast("string").alias("gazette_id"), F.explode(F.array(F.transform("items", cells))).alias("rows"))
+    grids = items.select("gazette_id", F.explode(F.array(F.transform("items", cells))).alias("rows"))
     parts = F.array(F.slice("rows", 1, 3), F.slice("rows", 4, F.greatest(F.size("rows"), F.lit(1))))
     raw = grids.select("gazette_id", F.posexplode(parts).alias("part", "grid")).where(F.size("grid") > 0).select(
         "gazette_id", F.col("part").alias("idx"), (F.col("part") + 10).alias("page_no"), F.size("grid").alias("n_rows"), F.lit(8).alias("n_cols"),
