@@ -7,6 +7,7 @@ neighbour texts are still computed in columns."""
 
 from __future__ import annotations
 
+import gc
 import re
 from bisect import bisect_left, bisect_right
 from functools import lru_cache
@@ -255,6 +256,16 @@ def _found(ratio: float):
 
     @F.arrow_udf(_FOUND)
     def run(pages: pa.Array, found: pa.Array) -> pa.Array:
+        # a batch makes many small tuples and no cycles: searching for cycles would take a quarter of the time
+        was = gc.isenabled()
+        gc.disable()
+        try:
+            return tabled(pages, found)
+        finally:
+            if was:
+                gc.enable()
+
+    def tabled(pages: pa.Array, found: pa.Array) -> pa.Array:
         """The logical tables of each gazette with their records."""
         batch, flags = _Batch(found.flatten(), ratio), [_values(x) for x in pages.flatten().flatten()]
         pages_at, tables_at = _starts(pages), _starts(found)
